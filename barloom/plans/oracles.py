@@ -162,42 +162,41 @@ def _splice_rows(basis: str) -> str:
 SELECT symbol, time, {_same("open", "high", "low", "close")}, tick_volume FROM spliced"""
 
 
-def _weights(order: float = 0.4) -> str:
-    rows = ", ".join(f"({lag}, {value!r})" for lag, value in enumerate(frac_weights(order)))
-    return f"weights(lag, weight) AS (VALUES {rows})"
+def _oldest_first(order: float) -> str:
+    """101 weights as a list; orders with fewer are padded with zeros."""
+    weights = frac_weights(order)
+    weights += [0.0] * (101 - len(weights))
+    return "[" + ", ".join(repr(w) for w in reversed(weights)) + "]::DOUBLE[]"
 
 
 def _frac(source: str, order: str = "time") -> str:
     """Rows of ``source`` with ``frac_diff_close`` as CTE ``diffed``."""
-    return f"""numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {order}) AS rn FROM {source}
+    return f"""recent AS (
+  SELECT *, list(coalesce(close, 0.0)) OVER (PARTITION BY symbol ORDER BY {order}
+                                             ROWS 100 PRECEDING) AS history
+  FROM {source}
 ),
-sums AS (
-  SELECT a.symbol, a.rn, sum(weight * coalesce(b.close, 0.0)) AS frac_diff_close
-  FROM numbered a CROSS JOIN weights
-  JOIN numbered b ON b.symbol = a.symbol AND b.rn = a.rn - lag
-  GROUP BY 1, 2
-),
-diffed AS (SELECT * FROM numbered JOIN sums USING (symbol, rn))"""
+diffed AS (
+  SELECT *, list_dot_product(history, list_slice({_oldest_first(0.4)}, 102 - len(history), 101))
+              AS frac_diff_close
+  FROM recent
+)"""
 
 
-_FRAC_ROWS = f"""WITH {_weights()}, {_BARS}, {_frac("bars")}
+_FRAC_ROWS = f"""WITH {_BARS}, {_frac("bars")}
 SELECT symbol, time, {_same("frac_diff_close")} FROM diffed"""
 
 _GRID = [i / 10 for i in range(11)]
-_GRID_WEIGHTS = ", ".join(
-    f"({d!r}, {lag}, {value!r})" for d in _GRID for lag, value in enumerate(frac_weights(d))
-)
+_GRID_WEIGHTS = ", ".join(f"({d!r}::DOUBLE, {_oldest_first(d)})" for d in _GRID)
 _STATISTICS = f"""WITH {_BARS},
-weights(d, lag, weight) AS (
-  SELECT d::DOUBLE, lag, weight::DOUBLE FROM (VALUES {_GRID_WEIGHTS}) t(d, lag, weight)
+weights(d, weight) AS (VALUES {_GRID_WEIGHTS}),
+recent AS (
+  SELECT symbol, row_number() OVER w AS rn, list(close) OVER (w ROWS 100 PRECEDING) AS history
+  FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY time)
 ),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time) AS rn FROM bars),
 levels AS (
-  SELECT a.symbol, d, a.rn, sum(weight * b.close) AS y
-  FROM numbered a CROSS JOIN weights
-  JOIN numbered b ON b.symbol = a.symbol AND b.rn = a.rn - lag
-  GROUP BY 1, 2, 3
+  SELECT symbol, d, rn, list_dot_product(history, weight) AS y
+  FROM recent CROSS JOIN weights WHERE rn > 100
 ),
 pairs AS (
   SELECT symbol, d, rn, lag(y) OVER v AS x, y - lag(y) OVER v AS dy
@@ -332,8 +331,7 @@ SELECT symbol, time, {_same("gap")} FROM gaps WHERE gap <> 0""",
     "splice_open_gap": _splice_rows("open"),
     "frac_diff": _FRAC_ROWS,
     "frac_diff_sliced": _FRAC_ROWS,
-    "frac_diff_ticks": f"""WITH {_weights()},
-bars AS (SELECT event_type AS symbol, ts, event_id, value AS close FROM events),
+    "frac_diff_ticks": f"""WITH bars AS (SELECT event_type AS symbol, ts, event_id, value AS close FROM events),
 {_frac("bars", "ts, event_id")}
 SELECT event_id, {_same("frac_diff_close")} FROM diffed""",
     "frac_diff_orders": f"""{_STATISTICS}
@@ -341,7 +339,7 @@ SELECT symbol, d, n, {_same("t_statistic")} FROM statistics""",
     "frac_diff_least_order": f"""{_STATISTICS}
 SELECT symbol, min(d) FILTER (WHERE t_statistic < -2.86) AS least_d FROM statistics GROUP BY 1""",
     "silver_prepare": f"WITH {_RAW} SELECT * FROM prepared",
-    "silver_clean": f"""WITH {_weights()}, {_RAW},
+    "silver_clean": f"""WITH {_RAW},
 good AS (SELECT * FROM prepared WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)),
 {_spliced("close", "good")},
 continuous AS (
