@@ -9,6 +9,7 @@ from barloom import constants as C
 from barloom.functions import prices
 from barloom.functions.times import cyclic_time
 from barloom.operators.series import over_series
+from barloom.schemas import GOLD
 
 
 def _log_return(window: WindowSpec) -> Column:
@@ -82,8 +83,11 @@ def with_cyclic_time(df: DataFrame) -> DataFrame:
 def technical_features(df: DataFrame) -> DataFrame:
     """All features; rows that lack any value, such as a series' first ten, are dropped.
 
-    Everything ordered shares one shuffle and one sort; the rest is row-wise.
+    Everything ordered shares one shuffle and one sort; the rest is row-wise. A
+    frame without ``time`` holds no bars and gives none.
     """
+    if "time" not in df.columns:
+        return df.sparkSession.createDataFrame([], GOLD)
 
     def build(s: DataFrame, w: WindowSpec) -> DataFrame:
         return s.withColumns(

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from barloom.functions.times import micros
 from barloom.schemas import series_key
+from barloom.sources.layers import stage
 
 SLICE = "_slice"
 COPIED = "_copied"
 
 SLICE_ROWS = 1 << 20
 DEFAULT_STEP_SECONDS = 60
+BROADCAST_ROWS = 100_000
 _UNIT_SECONDS = {"S": 1, "M": 60, "H": 3600, "D": 86400, "W": 604800, "MN": 2592000}
 
 
@@ -66,7 +68,8 @@ def balanced_slices(
     Each round counts rows per slice (a pre-aggregated pass over key and time)
     and narrows only the overfull slices; the rounds end when none is left, at
     the latest at a width of one microsecond. The table of overfull slices has
-    at most rows / ``limit`` entries, and is broadcast only while short.
+    at most rows / ``limit`` entries: read up to a fixed number it is broadcast,
+    beyond it is a written table to join with.
     """
     keys = list(keys or series_key(df))
     width = "_width"
@@ -76,7 +79,7 @@ def balanced_slices(
         SLICE, start
     )
     while True:
-        parts = F.col("_rows") / F.lit(limit) * 2
+        parts = F.col("_rows") / F.lit(limit) * 4
         narrower = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col(width) / parts))
         overfull = (
             sliced.groupBy(*keys, SLICE, width)
@@ -84,10 +87,13 @@ def balanced_slices(
             .where((F.col("_rows") > limit) & (F.col(width) > 1))
             .select(*keys, SLICE, width, narrower.alias("_narrower"))
         )
-        found = overfull.count()
+        found = overfull.limit(BROADCAST_ROWS + 1).collect()
         if not found:
             return sliced.drop(width)
-        side = F.broadcast(overfull) if found <= 100_000 else overfull
+        if len(found) <= BROADCAST_ROWS:
+            side = F.broadcast(df.sparkSession.createDataFrame(found, overfull.schema))
+        else:
+            side = stage(overfull, "overfull-slices")
         # cells of one width nest in their parent: both count from the parent's start
         offset = at - F.col(SLICE)
         inner = F.col(SLICE) + offset - F.pmod(offset, F.col("_narrower"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barloom.operators.features import technical_features
 from barloom.operators.quality import quality_report, require_valid
+from barloom.operators.series import balanced_slices
 from barloom.sources.layers import read_layer, replace_series
 
 
@@ -19,7 +20,7 @@ def build_gold(
     silver = read_layer(spark, base, "silver", data_type, symbol, timeframe)
     if silver.isEmpty():
         raise ValueError(f"no silver bars in {base}")
-    return replace_series(technical_features(silver), base, "gold")
+    return replace_series(technical_features(balanced_slices(silver)), base, "gold")
 
 
 def check_gold(

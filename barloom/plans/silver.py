@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from barloom.operators.conform import conform, drop_incomplete, fill_volumes, ke
 from barloom.operators.dedup import keep_last
 from barloom.operators.fracdiff import fractional_difference
 from barloom.operators.quality import require_valid, split_violations
+from barloom.operators.series import balanced_slices
 from barloom.operators.splice import splice_broadcast
-from barloom.schemas import KEY
+from barloom.schemas import KEY, SILVER
+from barloom.sources.bronze import as_frame
 from barloom.sources.layers import read_layer, replace_series, stage
 
 
@@ -51,7 +54,8 @@ def finish_bars(
 
 
 def clean_bars(
-    raw: DataFrame,
+    raw: Any,
+    symbol: str | None = None,
     strict: bool = False,
     arrival: Sequence[str] = ("ingest_seq",),
     roots: Sequence[str] | None = C.SPLICED_ROOTS,
@@ -59,9 +63,21 @@ def clean_bars(
 ) -> DataFrame:
     """The whole cleaning of any number of series in one frame.
 
-    ``strict`` raises at the first bad bar; otherwise bad bars are left out.
+    ``raw`` is a Spark frame, a pandas frame or a list of rows; ``symbol`` names
+    the series where the rows do not. No rows give an empty frame.
+
+    ``strict`` raises at the first bad bar; otherwise bad bars are left out. The
+    prepared bars are staged, so that times are parsed and duplicates sought once
+    for the gate, the rollover search and the bars themselves.
     """
-    prepared = prepare_bars(raw, arrival)
+    if not isinstance(raw, DataFrame):
+        session = SparkSession.active()
+        if not len(raw):
+            return session.createDataFrame([], SILVER)
+        raw = as_frame(session, raw)
+    if symbol is not None:
+        raw = raw.withColumn("symbol", F.lit(symbol))
+    prepared = stage(prepare_bars(raw, arrival), "prepared-bars")
     good = require_valid(prepared) if strict else split_violations(prepared)[0]
     return finish_bars(good, roots, gap_basis)
 
@@ -78,8 +94,9 @@ def build_silver(
 ) -> str:
     """Bronze to silver for all series, or those named.
 
-    Deduplicated bars are staged once; the gate, the rollover search and the
-    write then read only their columns of them. Without ``strict`` bad bars go
+    Deduplicated bars are staged once; the gate, the slicing by measured row
+    counts, the rollover search and the write then read only their columns of
+    them. Without ``strict`` bad bars go
     to the quarantine dataset.
     """
     bronze = read_layer(spark, base, "bronze", data_type, symbol, timeframe)
@@ -91,7 +108,7 @@ def build_silver(
     else:
         good, bad = split_violations(prepared)
         replace_series(bad, base, "quarantine")
-    bars = keep_finite(finish_bars(good, roots))
+    bars = keep_finite(finish_bars(balanced_slices(good), roots))
     return replace_series(fractional_difference(bars, "close", d), base, "silver")
 
 

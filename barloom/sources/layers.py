@@ -62,6 +62,16 @@ def _selected(df: DataFrame, **wanted: str | None) -> DataFrame:
     return df
 
 
+def _bronze_schema(found: T.StructType) -> T.StructType:
+    fields = [
+        T.StructField(f.name, T.StringType() if f.name in KEY else f.dataType)
+        for f in found.fields
+    ]
+    names = {f.name for f in fields} | ({"time"} if "timestamp" in found.names else set())
+    known = [f for f in BRONZE.fields if f.name not in names]
+    return T.StructType([*known, *fields])
+
+
 def read_layer(
     spark: SparkSession,
     base: str,
@@ -72,27 +82,21 @@ def read_layer(
 ) -> DataFrame:
     """Scan a layer; key predicates prune directories.
 
-    The schema is given, so a symbol such as ``007`` stays text, except that
-    bronze keeps whatever columns arrived. A missing layer is an empty frame.
+    The schema is given, so a symbol such as ``007`` stays text. Bronze keeps
+    whatever columns arrived: those of one file, and the known ones, which other
+    files may have. A missing layer is an empty frame.
     """
     path = layer_path(base, layer)
+    schema = SCHEMAS[layer]
     try:
         if layer == "bronze":
-            found = spark.read.option("mergeSchema", "true").parquet(path).schema
-            schema = T.StructType(
-                [
-                    T.StructField(f.name, T.StringType() if f.name in KEY else f.dataType)
-                    for f in found.fields
-                ]
-            )
-        else:
-            schema = SCHEMAS[layer]
+            schema = _bronze_schema(spark.read.parquet(path).schema)
         df = spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         log.warning("no files in %s", path)
-        return spark.createDataFrame([], SCHEMAS[layer])
+        return spark.createDataFrame([], schema)
     return _selected(df, data_type=data_type, symbol=symbol, timeframe=timeframe)
 
 

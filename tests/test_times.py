@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import at
+from pyspark.sql import functions as F
+
+from barloom.functions.times import cyclic_time, normalized_time, session_open, time_column
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("Wed, 19 Aug 2026 10:00:00 GMT", at("2026-08-19 10:00:00")),
+        ("Wed, 19 Aug 2026 10:00:00 BRT", at("2026-08-19 10:00:00")),
+        ("Wed, 9 Sep 2026 10:00:00 GMT", at("2026-09-09 10:00:00")),
+        ("Thu, 19 Aug 2026 10:00:00 GMT", None),  # a Wednesday
+        ("Wed, 19 Aug 2026 10:00:00", None),
+        ("2026-08-19T10:00:00", at("2026-08-19 10:00:00")),
+        ("2026-08-19 10:00:00", at("2026-08-19 10:00:00")),
+        ("2026-08-19", None),
+        ("2026-13-19 10:00:00", None),
+        ("2026-08-19 10:00:00.5", None),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_text_layouts(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "time string")
+    assert df.select(normalized_time(df)).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    "kind, value, expected",
+    [
+        ("bigint", 1787133600, at("2026-08-19 10:00:00")),
+        ("int", 1787133600, at("2026-08-19 10:00:00")),
+        ("timestamp_ntz", at("2026-08-19 10:00:00.25"), at("2026-08-19 10:00:00.25")),
+        ("date", dt.date(2026, 8, 19), at("2026-08-19 00:00:00")),
+    ],
+)
+def test_typed_times(spark, kind, value, expected):
+    df = spark.createDataFrame([(value,)], f"time {kind}")
+    result = df.select(normalized_time(df).alias("t"))
+    assert result.schema["t"].dataType.typeName() == "timestamp_ntz"
+    assert result.first()["t"] == expected
+
+
+def test_zoned_time_keeps_wall_clock(spark):
+    df = spark.sql("SELECT TIMESTAMP '2026-08-19 10:00:00' AS time")
+    assert df.select(normalized_time(df)).first()[0] == at("2026-08-19 10:00:00")
+
+
+def test_timestamp_column_goes_first(spark):
+    df = spark.createDataFrame([("a", "b")], "time string, timestamp string")
+    assert time_column(df) == "timestamp"
+    assert time_column(df.drop("timestamp")) == "time"
+
+
+@pytest.mark.parametrize(
+    "symbol, time, expected",
+    [
+        ("WIN$", "2026-08-19 00:00:00", "2026-08-19 09:00:00"),
+        ("WINQ26", "2026-08-19 00:00:00", "2026-08-19 10:00:00"),
+        ("WIN$", "2026-08-19 00:00:30", "2026-08-19 09:00:30"),  # seconds do not count
+        ("WIN$", "2026-08-19 00:01:00", "2026-08-19 00:01:00"),
+        ("WIN$", "2026-08-19 12:00:00", "2026-08-19 12:00:00"),
+    ],
+)
+def test_session_open(spark, symbol, time, expected):
+    df = spark.createDataFrame([(symbol, at(time))], "symbol string, time timestamp_ntz")
+    assert df.select(session_open(F.col("time"), F.col("symbol"))).first()[0] == at(expected)
+
+
+def test_cyclic_time(spark):
+    df = spark.createDataFrame([(at("2026-08-23 06:15:00"),)], "time timestamp_ntz")  # a Sunday
+    row = df.select(*[c.alias(n) for n, c in cyclic_time(F.col("time")).items()]).first()
+    assert row["weekday_sin"] == pytest.approx(0.0, abs=1e-12)
+    assert row["weekday_cos"] == pytest.approx(1.0)
+    assert row["hour_sin"] == pytest.approx(1.0)
+    assert row["minute_sin"] == pytest.approx(1.0)
+    assert row["month_cos"] == pytest.approx(-0.5)
