@@ -154,16 +154,15 @@ def test_fractional_difference_matches_brute_force(frame, limit):
 
 
 def test_batches_carry_history(spark, frame):
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    whole = sorted(map(str, fractional_difference(frame).collect()))
+    def values():
+        rows = fractional_difference(frame).orderBy("symbol", "time").collect()
+        return [r["frac_diff_close"] for r in rows]
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    whole = values()
     try:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
-        parts = fractional_difference(frame).collect()
+        spark.conf.set(name, "17")
+        assert np.allclose(values(), whole)
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    rounded = [str(r) for r in parts]
-    assert len(rounded) == len(whole)
-    assert np.allclose(
-        sorted(r["frac_diff_close"] for r in parts),
-        sorted(r["frac_diff_close"] for r in fractional_difference(frame).collect()),
-    )
+        spark.conf.set(name, before)
