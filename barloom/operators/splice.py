@@ -55,7 +55,8 @@ def splice_series(
 
     The sum has two levels: within the slice a running sum from the newest bar,
     and a table of slice totals for all later slices, joined on the partitioning
-    the bars already have.
+    the bars already have. The totals come from a second, narrow reading of the
+    bars: stage them first if they are costly to compute.
     """
     if CONTRACT not in df.columns:
         return df
@@ -90,8 +91,9 @@ def splice_series(
     within = gaps(sliced).withColumn(
         "_within", F.coalesce(F.sum("_gap").over(newer_bars), F.lit(0.0))
     )
-    joined = within.join(later, group)
-    return _shifted(joined, F.col("_later") + F.col("_within")).select(*kept)
+    joined = within.join(later, group, "left")
+    offset = F.coalesce("_later", F.lit(0.0)) + F.col("_within")
+    return _shifted(joined, offset).select(*kept)
 
 
 def splice_broadcast(

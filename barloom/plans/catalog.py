@@ -24,7 +24,13 @@ from barloom.plans.silver import clean_bars, prepare_bars
 from barloom.schemas import FEATURES
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars
-from barloom.sources.layers import append_alerts, read_alerts, read_layer, replace_series
+from barloom.sources.layers import (
+    append_alerts,
+    read_alerts,
+    read_layer,
+    replace_series,
+    stage,
+)
 from barloom.streaming.bars import stream_bars
 from barloom.streaming.ticks import guard_ticks
 
@@ -126,20 +132,14 @@ def finite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.keep_finite(derived.non_finite(derived.bars(spark, sf_dir)))
 
 
-def _spliced(join: Callable[..., DataFrame]) -> Query:
+def _spliced(form: Callable[..., DataFrame], gap_basis: str = "close") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame = derived.contracts(derived.bars(spark, sf_dir))
-        return rounded(join(frame, roots=None), *derived.PRICE_COLUMNS)
+        frame = stage(derived.contracts(derived.bars(spark, sf_dir)), "contract-bars")
+        return rounded(form(frame, gap_basis, roots=None), *derived.PRICE_COLUMNS)
 
     return run
 
 
-def splice_open_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = derived.contracts(derived.bars(spark, sf_dir))
-    spliced = splice.splice_series(frame, gap_basis="open", roots=None)
-    return rounded(spliced, *derived.PRICE_COLUMNS)
-
-
 def rollover_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = derived.contracts(derived.bars(spark, sf_dir))
     return rounded(splice.rollovers(frame, roots=None), "gap")
@@ -153,10 +153,10 @@ def frac_diff_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frac_diff_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event is a row of its series; slices follow the measured row counts."""
-    frame = balanced_slices(derived.ticks_as_series(spark, sf_dir))
-    found = fractional_difference(frame, order=("time", "event_id"))
-    return rounded(found.select("event_id", "frac_diff_close"), "frac_diff_close")
+    """Every event time is a row of its series; slices follow the measured row counts."""
+    ticks = stage(derived.ticks_as_series(spark, sf_dir), "ticks")
+    found = fractional_difference(balanced_slices(ticks))
+    return rounded(found.select("symbol", "time", "frac_diff_close"), "frac_diff_close")
 
 
 def frac_diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +331,7 @@ QUERIES: dict[str, Query] = {
     "rollover_gaps": rollover_gaps,
     "splice_backward": _spliced(splice.splice_series),
     "splice_broadcast": _spliced(splice.splice_broadcast),
-    "splice_open_gap": splice_open_gap,
+    "splice_open_gap": _spliced(splice.splice_series, "open"),
     "frac_diff": _feature(fractional_difference, ["close"], "frac_diff_close"),
     "frac_diff_sliced": frac_diff_sliced,
     "frac_diff_ticks": frac_diff_ticks,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.contracts import encode
 from barloom.operators.bars import ohlc_bars
+from barloom.operators.dedup import keep_last
 from barloom.schemas import CONTRACT
 
 PRICE_COLUMNS = ("open", "high", "low", "close")
@@ -39,13 +40,14 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticks_as_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as one row of its type's series."""
-    return table(spark, sf_dir, "events").select(
+    """Every event time as one row of its type's series; the last event at a time counts."""
+    ticks = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("symbol"),
         F.col("ts").alias("time"),
         "event_id",
         F.col("value").alias("close"),
     )
+    return keep_last(ticks, ["event_id"]).drop("event_id")
 
 
 def contracts(frame: DataFrame) -> DataFrame:

@@ -331,9 +331,12 @@ SELECT symbol, time, {_same("gap")} FROM gaps WHERE gap <> 0""",
     "splice_open_gap": _splice_rows("open"),
     "frac_diff": _FRAC_ROWS,
     "frac_diff_sliced": _FRAC_ROWS,
-    "frac_diff_ticks": f"""WITH bars AS (SELECT event_type AS symbol, ts, event_id, value AS close FROM events),
-{_frac("bars", "ts, event_id")}
-SELECT event_id, {_same("frac_diff_close")} FROM diffed""",
+    "frac_diff_ticks": f"""WITH ticks AS (
+  SELECT event_type AS symbol, ts AS time, value AS close FROM events
+  QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1
+),
+{_frac("ticks")}
+SELECT symbol, time, {_same("frac_diff_close")} FROM diffed""",
     "frac_diff_orders": f"""{_STATISTICS}
 SELECT symbol, d, n, {_same("t_statistic")} FROM statistics""",
     "frac_diff_least_order": f"""{_STATISTICS}
