@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom import constants as C
 from barloom.functions.checks import is_spike, violates_ohlcv
-from barloom.schemas import series_key
+from barloom.schemas import PRICES, series_key
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +48,16 @@ def quality_report(df: DataFrame) -> DataFrame:
     )
 
 
+def non_finite_counts(df: DataFrame) -> DataFrame:
+    """Infinite and not-a-number values per series, one column per price."""
+    return df.groupBy(*series_key(df)).agg(
+        *[
+            F.count_if(F.isnan(name) | (F.abs(F.col(name)) == F.lit(float("inf")))).alias(name)
+            for name in PRICES
+        ]
+    )
+
+
 def split_violations(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows and quarantined rows."""
     bad = F.coalesce(violates_ohlcv(), F.lit(False))

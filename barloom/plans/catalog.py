@@ -132,6 +132,10 @@ def finite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.keep_finite(derived.non_finite(derived.bars(spark, sf_dir)))
 
 
+def dq_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.non_finite_counts(derived.non_finite(derived.bars(spark, sf_dir)))
+
+
 def _spliced(form: Callable[..., DataFrame], gap_basis: str = "close") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = stage(derived.contracts(derived.bars(spark, sf_dir)), "contract-bars")
@@ -321,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     "dq_samples": dq_samples,
     "dq_quarantine": dq_quarantine,
+    "dq_non_finite": dq_non_finite,
     "dedup_keep_last": dedup_keep_last,
     "time_normalize": time_normalize,
     "time_from_epoch": time_from_epoch,

@@ -33,6 +33,13 @@ defects AS (
   FROM bars
 )"""
 
+_HOLED = """
+holed AS (
+  SELECT * REPLACE (CASE (day(time) + hour(time)) % 7 WHEN 0 THEN 'inf'::DOUBLE
+                    WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN NULL ELSE close END AS close)
+  FROM bars
+)"""
+
 _VIOLATES = """(high < low OR high < open OR high < close OR low > open OR low > close
   OR tick_volume < 0 OR open IS NULL OR close IS NULL)"""
 _SPIKES = """coalesce((high - low) / nullif(open, 0) > 0.20, open = 0 AND high - low > 0, FALSE)"""
@@ -318,12 +325,12 @@ SELECT symbol, time, open, high, low, close,
 FROM bars""",
     "drop_null_prices": f"""WITH {_BARS}, {_DEFECTS}
 SELECT * FROM defects WHERE hour(time) <> 23 AND close IS NOT NULL""",
-    "finite_rows": f"""WITH {_BARS}, holed AS (
-  SELECT * REPLACE (CASE (day(time) + hour(time)) % 7 WHEN 0 THEN 'inf'::DOUBLE
-                    WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN NULL ELSE close END AS close)
-  FROM bars
-)
+    "finite_rows": f"""WITH {_BARS}, {_HOLED}
 SELECT * FROM holed WHERE close IS NULL OR isfinite(close)""",
+    "dq_non_finite": f"""WITH {_BARS}, {_HOLED}
+SELECT symbol, 0::BIGINT AS open, 0::BIGINT AS high, 0::BIGINT AS low,
+       count(*) FILTER (WHERE NOT isfinite(close)) AS close
+FROM holed GROUP BY 1""",
     "rollover_gaps": f"""WITH {_BARS}, {_CONTRACTS}, {_spliced("close")}
 SELECT symbol, time, {_same("gap")} FROM gaps WHERE gap <> 0""",
     "splice_backward": _splice_rows("close"),
