@@ -108,12 +108,33 @@ def test_slice_width_follows_the_timeframe(spark):
     df = time_slices(spark.createDataFrame(rows, "timeframe string, time timestamp_ntz"), rows=10)
     starts = {r["timeframe"]: r[SLICE] for r in df.collect()}
     micros = int((START - datetime(1970, 1, 1)).total_seconds()) * 10**6
-    steps = {"M1": 60, "M5": 300, "H4": 14400, "D1": 86400, "MN1": 2592000, "ticks": 60, None: 60}
+    steps = {"M1": 60, "M5": 300, "H4": 14400, "D1": 86400, "MN1": 2592000, None: 60}
+    steps["ticks"] = 0.1
     for label, seconds in steps.items():
-        width = seconds * 10 * 10**6
+        width = int(seconds * 10 * 10**6)
         assert starts[label] == micros - micros % width
 
 
+def test_hot_series_spreads_over_tasks(spark):
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int"), F.lit(0))
+    hot = spark.range(20_000).select(
+        F.lit("hot").alias("symbol"),
+        (F.lit(START).cast("timestamp_ntz") + minutes).alias("time"),
+        F.rand(1).alias("close"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        placed = sliced_lags(balanced_slices(hot, keys=["symbol"], limit=500), 10).withColumn(
+            "task", F.spark_partition_id()
+        )
+        loads = [r["count"] for r in placed.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(loads) == 4
+    assert max(loads) < 10_000
+
+
 def brute_force(values, weights):
     return [
         sum(w * values[i - k] for k, w in enumerate(weights) if i >= k) for i in range(len(values))
