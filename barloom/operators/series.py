@@ -69,8 +69,8 @@ def balanced_slices(
     Each round counts rows per slice (a pre-aggregated pass over key and time)
     and narrows only the overfull slices; the rounds end when none is left, at
     the latest at a width of one microsecond. The table of overfull slices has
-    at most rows / ``limit`` entries: read up to a fixed number it is broadcast,
-    beyond it is a written table to join with.
+    at most rows / ``limit`` entries; it is written and counted, and broadcast
+    only while short.
     """
     keys = list(keys or series_key(df))
     width = "_width"
@@ -82,19 +82,17 @@ def balanced_slices(
     while True:
         parts = F.col("_rows") / F.lit(limit) * 4
         narrower = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col(width) / parts))
-        overfull = (
+        overfull = stage(
             sliced.groupBy(*keys, SLICE, width)
             .agg(F.count("*").alias("_rows"))
             .where((F.col("_rows") > limit) & (F.col(width) > 1))
-            .select(*keys, SLICE, width, narrower.alias("_narrower"))
+            .select(*keys, SLICE, width, narrower.alias("_narrower")),
+            "overfull-slices",
         )
-        found = overfull.limit(BROADCAST_ROWS + 1).collect()
+        found = overfull.count()
         if not found:
             return sliced.drop(width)
-        if len(found) <= BROADCAST_ROWS:
-            side = F.broadcast(df.sparkSession.createDataFrame(found, overfull.schema))
-        else:
-            side = stage(overfull, "overfull-slices")
+        side = F.broadcast(overfull) if found <= BROADCAST_ROWS else overfull
         # cells of one width nest in their parent: both count from the parent's start
         offset = at - F.col(SLICE)
         inner = F.col(SLICE) + offset - F.pmod(offset, F.col("_narrower"))

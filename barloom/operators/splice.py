@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom import constants as C
 from barloom.operators.series import COPIED, SLICE, over_series, time_slices, with_lookback
 from barloom.schemas import CONTRACT, PRICES, series_key
+from barloom.sources.layers import stage
 
 
 def is_spliced(symbol: Column, roots: Sequence[str] | None = C.SPLICED_ROOTS) -> Column:
@@ -105,23 +106,22 @@ def splice_broadcast(
     """The same result without shuffling the bars, when rollovers are few.
 
     Between two rollovers the offset is constant, so the bars need only a
-    broadcast table of periods. The rollovers are read up to the limit and one
-    more; beyond the limit ``splice_series`` takes over.
+    broadcast table of periods. The rollovers are written to the work folder and
+    counted; beyond the limit ``splice_series`` takes over.
     """
     if CONTRACT not in df.columns:
         return df
     keys = series_key(df)
-    marks = rollovers(df, gap_basis, roots)
-    known = marks.limit(max_rollovers + 1).collect()
-    if len(known) > max_rollovers:
+    marks = stage(rollovers(df, gap_basis, roots), "rollovers")
+    known = marks.count()
+    if known > max_rollovers:
         return splice_series(df, gap_basis, roots)
     if not known:
         return df.drop(CONTRACT)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("time"))
     in_time = Window.partitionBy(*keys).orderBy("time")
     periods = (
-        df.sparkSession.createDataFrame(known, marks.schema)
-        .withColumn("_offset", F.sum("gap").over(newest_first))
+        marks.withColumn("_offset", F.sum("gap").over(newest_first))
         .select(
             *keys,
             F.lag("time").over(in_time).alias("_from"),
