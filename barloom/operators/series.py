@@ -80,11 +80,12 @@ def balanced_slices(
         SLICE, start
     )
     while True:
-        parts = F.col("_rows") / F.lit(limit) * 4
-        narrower = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col(width) / parts))
+        # half full if the rows lie evenly over the time they occupy
+        parts = F.col("_rows") / F.lit(limit) * 2
+        narrower = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("_span") / parts))
         overfull = stage(
             sliced.groupBy(*keys, SLICE, width)
-            .agg(F.count("*").alias("_rows"))
+            .agg(F.count("*").alias("_rows"), (F.max(at) - F.min(at) + 1).alias("_span"))
             .where((F.col("_rows") > limit) & (F.col(width) > 1))
             .select(*keys, SLICE, width, narrower.alias("_narrower")),
             "overfull-slices",
