@@ -128,7 +128,7 @@ with base as (
   join fence c on c.level = 2 and a.rate = c.rate
   where a.level = 0
 ), outlier as (
-  select row_id, bool_or(v > high or rate = 'word_length' and v < low) as bad
+  select row_id, bool_or(v > high or r.rate = 'word_length' and v < low) as bad
   from (select row_id, lang, source,
       unnest(['symbol_rate', 'line_rate', 'repeat_rate', 'word_length']) as rate,
       unnest([symbol_rate, line_rate, repeat_rate, word_length]) as v from rated) r
