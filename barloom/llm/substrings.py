@@ -42,8 +42,8 @@ from .common import extended, stage
 
 WINDOW = 13
 GRAM = 5
-BATCH_WORDS = 1 << 20
-BLOCK_BYTES = 12 << 20
+BATCH_WORDS = 1 << 19
+BLOCK_BYTES = 6 << 20
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 FACTORS = "doc_id long, sig long, start int, stop int"
 LOW48 = np.uint64((1 << 48) - 1)
