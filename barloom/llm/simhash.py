@@ -46,6 +46,7 @@ DISTANCE = 3
 BLOCK = 512
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 CHUNK = 1 << 16
+EXPANDED = 100_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -203,7 +204,11 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                     [pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"]
                 )
 
-    keys = prints.select("print").distinct().mapInArrow(expand, "key long, print long")
+    # fifty keys a row: enough partitions for the keys, which adaptive execution doesn't know
+    least = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-prints.count() // EXPANDED))
+    dealt = prints.select("print").distinct().repartition(parts, "print")
+    keys = dealt.mapInArrow(expand, "key long, print long")
     buckets = keys.groupBy("key").agg(
         F.count("*").alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
     )
@@ -215,7 +220,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     large = shared.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     own = F.pmod(F.xxhash64("print"), F.col("blocks"))
-    dealt = (
+    compared = (
         keys.join(large, "key")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -229,7 +234,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         )
         .select("left", "right")
     )
-    return pairs.unionByName(dealt.mapInArrow(compare, "a long, b long")).distinct()
+    return pairs.unionByName(compared.mapInArrow(compare, "a long, b long")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -285,11 +290,13 @@ def near_duplicates(
         raise ValueError("the keys find distances up to 3")
     prints = stage(fingerprints(docs, shingle), "prints")
     roots = components(links(prints, distance))
-    named = prints.join(roots, F.col("print") == F.col("node"), "left")
-    groups = F.coalesce("root", "print")
-    named = named.select("doc_id", "print", groups.alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "root").select(
+    own = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+    rooted = own.join(roots, F.col("print") == F.col("node"), "left").select(
+        "print", "least", F.coalesce("root", "print").alias("root")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stage(rooted.join(smallest, "root").select("print", "component_id"), "named")
+    return prints.join(named, "print").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
