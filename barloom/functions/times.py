@@ -42,7 +42,7 @@ def parse_time_text(text: Column) -> Column:
         F.coalesce(
             F.when(text.contains(","), _mail_time(text)),
             F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-            F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
+            F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
         )
     )
 
@@ -70,6 +70,11 @@ def session_open(time: Column, symbol: Column) -> Column:
     return F.when(at_midnight, moved).otherwise(time)
 
 
+def is_daily(timeframe: Column) -> Column:
+    """Whether a label names bars of a day or longer; so does a missing label."""
+    return F.coalesce(timeframe.rlike(r"^(D|W|MN)\d*$"), F.lit(True))
+
+
 def truncated(time: Column, unit: str) -> Column:
     return _ntz(F.date_trunc(unit, time))
 

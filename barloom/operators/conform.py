@@ -24,7 +24,7 @@ def conform(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
         "symbol",
         "time",
-        *[F.col(name).cast("double").alias(name) for name in PRICES],
+        *[F.col(name).try_cast("double").alias(name) for name in PRICES],
         *volumes,
         *keys,
         *rest,

@@ -13,13 +13,16 @@ from barloom.schemas import series_key
 def keep_last(
     df: DataFrame, arrival: Sequence[str] = ("ingest_seq",), time: str = "time"
 ) -> DataFrame:
-    """One row per series and time.
+    """One row per series and time; rows without a time are no duplicates of each other.
 
     Partitioned by time as well, so one large symbol spreads over all tasks.
     Spark limits every map task to one row per group before the shuffle, so
     neither does a bar sent a billion times reach one task.
     """
-    last_first = Window.partitionBy(*series_key(df), time).orderBy(*[F.desc(c) for c in arrival])
+    apart = [F.when(F.col(time).isNull(), F.col(c)) for c in arrival]
+    last_first = Window.partitionBy(*series_key(df), time, *apart).orderBy(
+        *[F.desc(c) for c in arrival]
+    )
     return (
         df.withColumn("_rank", F.row_number().over(last_first))
         .where(F.col("_rank") == 1)

@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from barloom import constants as C
 from barloom.functions.checks import is_degraded
 
-ALERT_TITLE = "Model Degradation Alert"
+ALERT_TITLE = "Sharpe ratio below its limit"
 
 
 def drift_alerts(metrics: DataFrame, least: float = C.MIN_SHARPE) -> DataFrame:
-    """Metric rows whose Sharpe ratio is missing or too low, as alerts."""
+    """Metric rows whose Sharpe ratio is missing or too low, as alerts.
+
+    All other columns of the audit go along as JSON in ``metrics``.
+    """
+    rest = [name for name in metrics.columns if name not in ("model", "ts", "sharpe_ratio")]
+    payload = F.to_json(F.struct(*rest)) if rest else F.lit(None).cast("string")
     return metrics.where(is_degraded(F.col("sharpe_ratio"), least)).select(
         "model",
         "ts",
         "sharpe_ratio",
         F.lit(ALERT_TITLE).alias("title"),
+        payload.alias("metrics"),
         F.to_date("ts").alias("alert_date"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import constants as C
-from barloom.functions.checks import is_spike, violates_ohlcv
+from barloom.functions.checks import is_finite, is_spike, violates_ohlcv
 from barloom.schemas import PRICES, series_key
 
 log = logging.getLogger(__name__)
@@ -64,6 +64,37 @@ def split_violations(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(~bad), df.where(bad)
 
 
+def bar_fault(df: DataFrame) -> Column:
+    """Why a bar can't go on, else null."""
+    return (
+        F.when(F.col("time").isNull(), "unparsed_time")
+        .when(~is_finite(df.select(*PRICES)), "not_finite")
+        .when(F.coalesce(violates_ohlcv(), F.lit(False)), "price_rule")
+        .when(F.col("high").isNull() | F.col("low").isNull(), "missing_price")
+    )
+
+
+def split_bars(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good bars, and the others with a ``reason``; every bar is in one of them."""
+    judged = df.withColumn("reason", bar_fault(df))
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+
+
+def series_verdicts(df: DataFrame) -> DataFrame:
+    """Per series the number of bars by fault; ``held`` if one breaks a price rule."""
+    reason = F.col("reason")
+    names = ("unparsed_time", "not_finite", "price_rule", "missing_price")
+    return (
+        df.withColumn("reason", bar_fault(df))
+        .groupBy(*series_key(df))
+        .agg(
+            F.count("*").alias("bars"),
+            *[F.count_if(reason == name).alias(name) for name in names],
+            (F.count_if(F.coalesce(violates_ohlcv(), F.lit(False))) > 0).alias("held"),
+        )
+    )
+
+
 def require_valid(df: DataFrame) -> DataFrame:
     """Raise on the first bad bar, warn about spikes; returns the frame unchanged.
 

@@ -23,7 +23,6 @@ SLICE = "_slice"
 COPIED = "_copied"
 
 SLICE_ROWS = 1 << 20
-BROADCAST_ROWS = 100_000
 DEFAULT_STEP_SECONDS = 60.0
 TICK_STEP_SECONDS = 0.1
 _UNIT_SECONDS = {"S": 1, "M": 60, "H": 3600, "D": 86400, "W": 604800, "MN": 2592000}
@@ -69,8 +68,8 @@ def balanced_slices(
     Each round counts rows per slice (a pre-aggregated pass over key and time)
     and narrows only the overfull slices; the rounds end when none is left, at
     the latest at a width of one microsecond. The table of overfull slices has
-    at most rows / ``limit`` entries; it is written and counted, and broadcast
-    only while short.
+    at most rows / ``limit`` entries; it is written, and Spark broadcasts it
+    only while its file is below the broadcast threshold.
     """
     keys = list(keys or series_key(df))
     width = "_width"
@@ -90,15 +89,13 @@ def balanced_slices(
             .select(*keys, SLICE, width, narrower.alias("_narrower")),
             "overfull-slices",
         )
-        found = overfull.count()
-        if not found:
+        if overfull.isEmpty():
             return sliced.drop(width)
-        side = F.broadcast(overfull) if found <= BROADCAST_ROWS else overfull
         # cells of one width nest in their parent: both count from the parent's start
         offset = at - F.col(SLICE)
         inner = F.col(SLICE) + offset - F.pmod(offset, F.col("_narrower"))
         sliced = (
-            sliced.join(side, [*keys, SLICE, width], "left")
+            sliced.join(overfull, [*keys, SLICE, width], "left")
             .withColumn(SLICE, F.coalesce(inner, F.col(SLICE)))
             .withColumn(width, F.coalesce("_narrower", width))
             .drop("_narrower")

@@ -36,7 +36,8 @@ def rollovers(
 ) -> DataFrame:
     """The bars at which the contract changes, with the gap; reads four columns only."""
     keys = series_key(df)
-    needed = dict.fromkeys([*keys, "time", CONTRACT, "close", gap_basis])
+    cut = [SLICE] if SLICE in df.columns else []
+    needed = dict.fromkeys([*keys, *cut, "time", CONTRACT, "close", gap_basis])
     narrow = df.select(*needed).where(is_spliced(F.col("symbol"), roots))
     return (
         over_series(narrow, 1, lambda s, w: s.withColumn("gap", _gap(w, gap_basis)))
@@ -82,7 +83,6 @@ def splice_series(
         .groupBy(*group)
         .agg(F.sum("_gap").alias("_total"))
         .select(*group, F.coalesce(F.sum("_total").over(newer_slices), F.lit(0.0)).alias("_later"))
-        .hint("shuffle_hash")
     )
     newer_bars = (
         Window.partitionBy(*group)
@@ -92,7 +92,8 @@ def splice_series(
     within = gaps(sliced).withColumn(
         "_within", F.coalesce(F.sum("_gap").over(newer_bars), F.lit(0.0))
     )
-    joined = within.join(later, group, "left")
+    same = reduce(lambda a, b: a & b, [F.col(f"w.{k}").eqNullSafe(F.col(f"l.{k}")) for k in group])
+    joined = within.alias("w").join(later.alias("l"), same, "left").select("w.*", "_later")
     offset = F.coalesce("_later", F.lit(0.0)) + F.col("_within")
     return _shifted(joined, offset).select(*kept)
 
@@ -101,23 +102,18 @@ def splice_broadcast(
     df: DataFrame,
     gap_basis: str = "close",
     roots: Sequence[str] | None = C.SPLICED_ROOTS,
-    max_rollovers: int = 100_000,
 ) -> DataFrame:
-    """The same result without shuffling the bars, when rollovers are few.
+    """The same result from the table of periods between rollovers.
 
-    Between two rollovers the offset is constant, so the bars need only a
-    broadcast table of periods. The rollovers are written to the work folder and
-    counted; beyond the limit ``splice_series`` takes over.
+    Between two rollovers the offset is constant. The periods are written to the work
+    folder, and Spark broadcasts them while their file is below its threshold. Each bar
+    is compared with the periods of its series: this form is for few rollovers, and the
+    layers use ``splice_series``.
     """
     if CONTRACT not in df.columns:
         return df
     keys = series_key(df)
-    marks = stage(rollovers(df, gap_basis, roots), "rollovers")
-    known = marks.count()
-    if known > max_rollovers:
-        return splice_series(df, gap_basis, roots)
-    if not known:
-        return df.drop(CONTRACT)
+    marks = rollovers(df, gap_basis, roots)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("time"))
     in_time = Window.partitionBy(*keys).orderBy("time")
     periods = (
@@ -129,7 +125,7 @@ def splice_broadcast(
             "_offset",
         )
     )
-    bars, period = df.alias("bars"), F.broadcast(periods).alias("period")
+    bars, period = df.alias("bars"), stage(periods, "periods").alias("period")
     same = reduce(
         lambda a, b: a & b, [F.col(f"bars.{k}").eqNullSafe(F.col(f"period.{k}")) for k in keys]
     )

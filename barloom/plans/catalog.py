@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import contracts as codes
@@ -20,7 +21,7 @@ from barloom.operators.fracdiff import (
 from barloom.operators.series import balanced_slices, time_slices
 from barloom.plans import derived
 from barloom.plans.medallion import run_layers
-from barloom.plans.silver import clean_bars, prepare_bars
+from barloom.plans.silver import build_silver, clean_bars, prepare_bars
 from barloom.schemas import FEATURES
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars
@@ -31,7 +32,8 @@ from barloom.sources.layers import (
     replace_series,
     stage,
 )
-from barloom.streaming.bars import stream_bars
+from barloom.streaming.bars import store_bars, stored_bars, stream_bars
+from barloom.streaming.ticks import fresh_ticks as read_fresh_ticks
 from barloom.streaming.ticks import guard_ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +179,34 @@ def silver_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_bars(derived.raw_bars(spark, sf_dir))
 
 
+def series_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.series_verdicts(prepare_bars(derived.raw_bars(spark, sf_dir)))
+
+
+def layer_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each bronze bar went: superseded, quarantined by reason, or silver."""
+    base = work_folder(spark, "balance")
+    raw = derived.raw_bars(spark, sf_dir)
+    append_bars(spark, base, raw, batch_id=1)
+    build_silver(spark, base, strict=False)
+    bronze = read_layer(spark, base, "bronze")
+    prepared = prepare_bars(bronze, ("batch_id", "ingest_seq"))
+    refused = read_layer(spark, base, "quarantine")
+    reason = F.col("reason")
+    counts = [
+        bronze.groupBy("symbol").agg(F.count("*").alias("bronze")),
+        prepared.groupBy("symbol").agg(F.count("*").alias("prepared")),
+        refused.groupBy("symbol").agg(
+            F.count_if(reason == "unparsed_time").alias("unparsed_time"),
+            F.count_if(reason == "price_rule").alias("price_rule"),
+        ),
+        read_layer(spark, base, "silver").groupBy("symbol").agg(F.count("*").alias("silver")),
+    ]
+    joined = reduce(lambda a, b: a.join(b, "symbol", "left"), counts)
+    superseded = (F.col("bronze") - F.col("prepared")).alias("superseded")
+    return joined.select("symbol", "bronze", superseded, "unparsed_time", "price_rule", "silver")
+
+
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = fractional_difference(clean_bars(derived.raw_bars(spark, sf_dir)))
     return rounded(frame, *derived.PRICE_COLUMNS, "frac_diff_close")
@@ -226,13 +256,15 @@ def fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(drift_alerts(derived.model_metrics(spark, sf_dir)), "sharpe_ratio")
+    found = drift_alerts(derived.model_metrics(spark, sf_dir))
+    return rounded(found.drop("metrics"), "sharpe_ratio")
 
 
 def drift_alert_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts appended to their dataset, counted by day and model."""
+    """The same audit appended twice; alerts counted by day and model, each once."""
     base = work_folder(spark, "alerts")
-    append_alerts(drift_alerts(derived.model_metrics(spark, sf_dir)), base)
+    for _ in range(2):
+        append_alerts(drift_alerts(derived.model_metrics(spark, sf_dir)), base)
     return read_alerts(spark, base).groupBy("alert_date", "model").agg(F.count("*").alias("alerts"))
 
 
@@ -253,9 +285,13 @@ def expiry_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def perpetual_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = derived.bars(spark, sf_dir).withColumn("root", F.lit("WIN"))
-    front = frame.where(F.col("symbol") == "click")
-    following = frame.where(F.col("symbol") == "view")
+    """Each event type as a front contract with the type next in order."""
+    frame = derived.bars(spark, sf_dir)
+    types = frame.select("symbol").distinct()
+    pairs = types.withColumn("next", F.lead("symbol").over(Window.orderBy("symbol")))
+    front = frame.withColumn("root", F.col("symbol"))
+    named = pairs.where("next is not null").select(F.col("symbol").alias("root"), "next")
+    following = frame.join(named, F.col("symbol") == F.col("next")).drop("next")
     return rounded(
         splice.perpetual_roll(front, following), "front_weight", *derived.PRICE_COLUMNS
     )
@@ -270,18 +306,12 @@ def _event_stream(spark: SparkSession, sf_dir: str, schema) -> DataFrame:
 
 
 def stream_hourly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream; the bars that its watermark has closed."""
+    """The events table as a stream; all bars, those still open at its end included."""
     schema = derived.table(spark, sf_dir, "events").schema
     out = work_folder(spark, "stream-bars")
-    query = (
-        stream_bars(_event_stream(spark, sf_dir, schema))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{out}/bars")
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{out}/bars")
+    bars = stream_bars(_event_stream(spark, sf_dir, schema))
+    store_bars(bars, f"{out}/bars", f"{out}/checkpoint", availableNow=True).awaitTermination()
+    return stored_bars(spark, f"{out}/bars")
 
 
 def stream_fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +320,7 @@ def stream_fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_folder(spark, "stream-ticks")
     stream = derived.as_tick_batches(_event_stream(spark, sf_dir, schema))
     guard_ticks(stream, out, f"{out}/checkpoint", availableNow=True).awaitTermination()
-    return spark.read.parquet(f"{out}/ticks").select("event_id", "batch_id", "time_msc")
+    return read_fresh_ticks(spark, out).select("event_id", "batch_id", "time_msc")
 
 
 QUERIES: dict[str, Query] = {
@@ -344,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "frac_diff_least_order": frac_diff_least_order,
     "silver_prepare": silver_prepare,
     "silver_clean": silver_clean,
+    "series_verdicts": series_verdicts,
+    "layer_row_balance": layer_row_balance,
     "bronze_append": bronze_append,
     "layer_replace": layer_replace,
     "layers_report": layers_report,

@@ -119,7 +119,7 @@ def continuous_symbols(frame: DataFrame) -> DataFrame:
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that can be wrong with bronze bars, in one frame."""
     frame = duplicates(defects(contracts(continuous_symbols(bars(spark, sf_dir)))))
-    return frame.withColumn("time", as_text(F.col("time")))
+    return frame.withColumns({"time": as_text(F.col("time")), "timeframe": F.lit("H1")})
 
 
 def as_tick_batches(events: DataFrame) -> DataFrame:

@@ -16,34 +16,9 @@ from barloom.schemas import KEY
 from barloom.sources.bronze import append_bars, as_frame
 from barloom.sources.layers import read_layer
 
-DEFAULT_SYMBOLS = ("WIN$", "WDO$")
 DEFAULT_TIMEFRAME = "M5"
 
 
-def sample_bars(
-    spark: SparkSession, symbols: Sequence[str] = DEFAULT_SYMBOLS, bars: int = 100
-) -> DataFrame:
-    """Five-minute bars on a straight line, for a first run without data."""
-    i = F.col("id")
-    line = F.col("id") * 0.1
-    start = F.lit("2026-01-01 09:00:00").cast("timestamp_ntz")
-    return (
-        spark.range(bars)
-        .select(
-            F.date_format(
-                start + F.make_dt_interval(F.lit(0), F.lit(0), (i * 5).cast("int"), F.lit(0)),
-                "yyyy-MM-dd HH:mm:ss",
-            ).alias("time"),
-            (100.0 + line).alias("open"),
-            (100.5 + line).alias("high"),
-            (99.5 + line).alias("low"),
-            (100.2 + line).alias("close"),
-            (1500 + i * 10).alias("tick_volume"),
-            F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"),
-        )
-    )
-
-
 def _many_series(spark: SparkSession, by_symbol: dict[str, Any]) -> DataFrame:
     frames = [as_frame(spark, raw).withColumn("symbol", F.lit(s)) for s, raw in by_symbol.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -52,8 +27,8 @@ def _many_series(spark: SparkSession, by_symbol: dict[str, Any]) -> DataFrame:
 def run_layers(
     spark: SparkSession,
     base: str,
-    raw: DataFrame | dict[str, Any] | None = None,
-    symbols: Sequence[str] = DEFAULT_SYMBOLS,
+    raw: DataFrame | dict[str, Any],
+    symbols: Sequence[str] | None = None,
     timeframe: str = DEFAULT_TIMEFRAME,
     data_type: str | None = None,
     strict: bool = True,
@@ -62,22 +37,20 @@ def run_layers(
 ) -> DataFrame:
     """Bronze, silver, gold and quality report; returns one row per series.
 
-    ``raw`` is a frame with a ``symbol`` column, or rows by symbol; symbols
-    without rows get sample bars.
+    ``raw`` is a frame with a ``symbol`` column, or rows by symbol. ``symbols`` says
+    which symbols the caller expects: other ones in ``raw``, or missing ones, are an
+    error.
     """
     if not isinstance(raw, DataFrame):
-        given = {s: rows for s, rows in (raw or {}).items() if s in symbols and len(rows)}
-        lacking = [s for s in symbols if s not in given]
-        if lacking:
-            given = {s: rows for s, rows in given.items()}
-            sample = sample_bars(spark, lacking)
-            raw = (
-                _many_series(spark, given).unionByName(sample, allowMissingColumns=True)
-                if given
-                else sample
-            )
-        else:
-            raw = _many_series(spark, given)
+        raw = {symbol: rows for symbol, rows in raw.items() if len(rows)}
+        found = set(raw)
+        if not raw:
+            raise ValueError("no bars given")
+        raw = _many_series(spark, raw)
+    elif symbols is not None:
+        found = {row["symbol"] for row in raw.select("symbol").distinct().collect()}
+    if symbols is not None and found != set(symbols):
+        raise ValueError(f"symbols without bars or not expected: {sorted(found ^ set(symbols))}")
     frame_label = None if "timeframe" in raw.columns else timeframe
     if not append_bars(spark, base, raw, None, frame_label, data_type):
         raise RuntimeError("bronze ingest failed")

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from barloom.operators.fracdiff import frac_weights
+from math import comb, gamma
 
 _BARS = """
 bars AS (
@@ -169,9 +169,18 @@ def _splice_rows(basis: str) -> str:
 SELECT symbol, time, {_same("open", "high", "low", "close")}, tick_volume FROM spliced"""
 
 
+def _binomials(order: float) -> list[float]:
+    """(-1)^k times ``order`` over k by the gamma function, while at least 1e-4, for k to 100."""
+    if order == int(order):
+        return [(-1.0) ** k * comb(int(order), k) for k in range(int(order) + 1)]
+    weights = [gamma(k - order) / (gamma(-order) * gamma(k + 1)) for k in range(101)]
+    small = [k for k, weight in enumerate(weights) if abs(weight) < 1e-4]
+    return weights[: small[0]] if small else weights
+
+
 def _oldest_first(order: float) -> str:
     """101 weights as a list; orders with fewer are padded with zeros."""
-    weights = frac_weights(order)
+    weights = _binomials(order)
     weights += [0.0] * (101 - len(weights))
     return "[" + ", ".join(repr(w) for w in reversed(weights)) + "]::DOUBLE[]"
 
@@ -229,13 +238,13 @@ ticks AS (
   FROM events
 ),
 ages AS (
-  SELECT batch_id, arg_max(time_msc, ingest_seq) AS last_time_msc,
+  SELECT 'futures' AS data_type, symbol, 'ticks' AS timeframe, batch_id, arg_max(time_msc, ingest_seq) AS last_time_msc,
          arg_max(arrival_msc, ingest_seq) AS last_arrival_msc, count(*) AS ticks,
          arg_max(arrival_msc, ingest_seq) - arg_max(time_msc, ingest_seq) AS age_msc
-  FROM ticks GROUP BY 1
+  FROM ticks GROUP BY symbol, batch_id
 )"""
 _FRESH = f"""WITH {_TICKS}
-SELECT event_id, batch_id, time_msc FROM ticks JOIN ages USING (batch_id) WHERE NOT age_msc > 10"""
+SELECT event_id, batch_id, time_msc FROM ticks JOIN ages USING (symbol, batch_id) WHERE NOT age_msc > 10"""
 
 _METRICS = """
 metrics AS (
@@ -244,7 +253,7 @@ metrics AS (
   FROM events GROUP BY 1, 2
 ),
 alerts AS (
-  SELECT model, ts, sharpe_ratio, 'Model Degradation Alert' AS title,
+  SELECT model, ts, sharpe_ratio, 'Sharpe ratio below its limit' AS title,
          CAST(ts AS DATE) AS alert_date
   FROM metrics WHERE coalesce(sharpe_ratio, 0) < 1.5
 )"""
@@ -267,12 +276,12 @@ broken AS (
 {_AGAIN.format(source="broken")},
 texts AS (SELECT * REPLACE ({_TEXT} AS time) FROM duplicates),
 parsed AS (SELECT * REPLACE ({_PARSED.format("time")} AS time) FROM texts),
-opened AS (SELECT * REPLACE ({_OPENED.format("time")} AS time) FROM parsed),
 prepared AS (
   SELECT symbol, time, open, high, low, close, tick_volume, 0::BIGINT AS spread,
-         0::BIGINT AS real_volume, original_contract
-  FROM opened
-  QUALIFY row_number() OVER (PARTITION BY symbol, time ORDER BY ingest_seq DESC) = 1
+         0::BIGINT AS real_volume, 'H1' AS timeframe, original_contract
+  FROM parsed
+  QUALIFY row_number() OVER (PARTITION BY symbol, time, CASE WHEN time IS NULL THEN ingest_seq END
+                             ORDER BY ingest_seq DESC) = 1
 )"""
 
 ORACLES: dict[str, str] = {
@@ -360,8 +369,21 @@ continuous AS (
 ),
 {_frac("continuous")}
 SELECT symbol, time, {_same("open", "high", "low", "close")}, tick_volume,
-       0::BIGINT AS spread, 0::BIGINT AS real_volume, {_same("frac_diff_close")}
+       0::BIGINT AS spread, 0::BIGINT AS real_volume, 'H1' AS timeframe, {_same("frac_diff_close")}
 FROM diffed""",
+    "series_verdicts": f"""WITH {_RAW}
+SELECT symbol, 'H1' AS timeframe, count(*) AS bars,
+       count(*) FILTER (WHERE time IS NULL) AS unparsed_time, 0::BIGINT AS not_finite,
+       count(*) FILTER (WHERE time IS NOT NULL AND {_VIOLATES}) AS price_rule,
+       0::BIGINT AS missing_price, count(*) FILTER (WHERE {_VIOLATES}) > 0 AS held
+FROM prepared GROUP BY 1""",
+    "layer_row_balance": f"""WITH {_RAW},
+arrived AS (SELECT symbol, count(*) AS bronze FROM parsed GROUP BY 1)
+SELECT symbol, bronze, bronze - count(*) AS superseded,
+       count(*) FILTER (WHERE time IS NULL) AS unparsed_time,
+       count(*) FILTER (WHERE time IS NOT NULL AND {_VIOLATES}) AS price_rule,
+       count(*) FILTER (WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)) AS silver
+FROM prepared JOIN arrived USING (symbol) GROUP BY symbol, bronze""",
     "bronze_append": f"""WITH {_BARS}, batches AS (
   SELECT *, 1::BIGINT AS batch_id FROM bars
   UNION ALL SELECT *, 2::BIGINT AS batch_id FROM bars WHERE hour(time) % 2 = 0
@@ -379,9 +401,8 @@ raised AS (
          close + 1 AS close, tick_volume, ingest_seq
   FROM duplicates
 ),
-opened AS (SELECT * REPLACE ({_OPENED.format("time")} AS time) FROM raised),
 clean AS (
-  SELECT * FROM opened
+  SELECT * FROM raised
   QUALIFY row_number() OVER (PARTITION BY symbol, time ORDER BY ingest_seq DESC) = 1
 ),
 {_gold("counts AS (SELECT 1)", "clean")}
@@ -412,19 +433,22 @@ SELECT month, trades,
          arg_min(day, abs(day(day) - 15)) FILTER (WHERE isodow(day) = 3) END AS index_expiry,
        min(day) FILTER (WHERE isodow(day) < 6) AS dollar_expiry
 FROM days GROUP BY month, trades""",
-    "perpetual_roll": f"""WITH {_BARS}, shares AS (
-  SELECT a.time, a.tick_volume / (a.tick_volume + b.tick_volume) AS w,
+    "perpetual_roll": f"""WITH {_BARS},
+pairs AS (
+  SELECT symbol, lead(symbol) OVER (ORDER BY symbol) AS following
+  FROM (SELECT DISTINCT symbol FROM bars)
+),
+shares AS (
+  SELECT a.symbol AS root, a.time, a.tick_volume / (a.tick_volume + b.tick_volume) AS w,
          a.open AS ao, b.open AS bo, a.high AS ah, b.high AS bh, a.low AS al, b.low AS bl,
          a.close AS ac, b.close AS bc, a.tick_volume + b.tick_volume AS tick_volume
-  FROM bars a JOIN bars b ON a.time = b.time AND a.symbol = 'click' AND b.symbol = 'view'
+  FROM bars a JOIN pairs USING (symbol) JOIN bars b ON a.time = b.time AND b.symbol = following
 )
-SELECT 'WIN' AS root, time, {_r("w", "front_weight")},
+SELECT root, time, {_r("w", "front_weight")},
        {_r("w * ao + (1 - w) * bo", "open")}, {_r("w * ah + (1 - w) * bh", "high")},
        {_r("w * al + (1 - w) * bl", "low")}, {_r("w * ac + (1 - w) * bc", "close")},
        tick_volume
 FROM shares""",
-    "stream_hourly_bars": f"""WITH {_BARS}
-SELECT * FROM bars
-WHERE time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_hourly_bars": f"WITH {_BARS} SELECT * FROM bars",
     "stream_fresh_ticks": _FRESH,
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 KEY = ("data_type", "symbol", "timeframe")
@@ -37,13 +39,21 @@ GOLD = T.StructType(
         *_KEY_FIELDS,
     ]
 )
-QUARANTINE = T.StructType([*_BAR_FIELDS, T.StructField(CONTRACT, T.StringType()), *_KEY_FIELDS])
+QUARANTINE = T.StructType(
+    [
+        *_BAR_FIELDS,
+        T.StructField(CONTRACT, T.StringType()),
+        T.StructField("reason", T.StringType()),
+        *_KEY_FIELDS,
+    ]
+)
 ALERTS = T.StructType(
     [
         T.StructField("model", T.StringType()),
         T.StructField("ts", T.TimestampNTZType()),
         T.StructField("sharpe_ratio", T.DoubleType()),
         T.StructField("title", T.StringType()),
+        T.StructField("metrics", T.StringType()),
         T.StructField("alert_date", T.DateType()),
     ]
 )
@@ -60,6 +70,11 @@ BRONZE = T.StructType(
 )
 
 
+def on_key(left: DataFrame, right: DataFrame) -> Column:
+    """Null-safe equality of the key columns."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in KEY])
+
+
 def series_key(df: DataFrame) -> list[str]:
     """The key columns a frame has; together they name one series."""
     return [name for name in KEY if name in df.columns]

@@ -10,10 +10,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom import constants as C
+from barloom.functions.times import normalized_time, time_column
 from barloom.schemas import CONTRACT, PRICES, VOLUMES
-from barloom.sources.layers import DEFAULT_DATA_TYPE, append_rows
+from barloom.sources.layers import DEFAULT_DATA_TYPE, append_rows, store_ticks
 
 log = logging.getLogger(__name__)
 
@@ -37,13 +39,23 @@ def _is_empty_input(raw: Any) -> bool:
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    """Prices as double and volumes as bigint, so that appended files agree; the rest as sent."""
+    """Prices, volumes and the time in one type, so that appended files agree; the rest as sent.
+
+    What is no number becomes null, and the gate names the row. The time, by whatever
+    name and type it came, is stored as ``time``: text as sent, all else in one layout.
+    """
     kinds = {
         **dict.fromkeys(PRICES, "double"),
         **dict.fromkeys(VOLUMES, "bigint"),
         CONTRACT: "string",
     }
-    return df.withColumns({n: F.col(n).cast(k) for n, k in kinds.items() if n in df.columns})
+    source = time_column(df)
+    if source in df.columns:
+        time = F.col(source)
+        if not isinstance(df.schema[source].dataType, T.StringType):
+            time = F.date_format(normalized_time(df, source), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        df = df.withColumn("time", time).drop(*({source} - {"time"}))
+    return df.withColumns({n: F.col(n).try_cast(k) for n, k in kinds.items() if n in df.columns})
 
 
 def stamped(
@@ -113,7 +125,8 @@ def append_ticks(
             log.critical("stale batch of %s dropped: %.1f ms old", symbol, now - sent)
             return False
         rows = stamped(as_frame(spark, ticks), symbol, TICKS, None, batch_id)
-        append_rows(rows, base, "ticks")
+        number = rows.select("batch_id").first()[0]
+        store_ticks(rows.withColumn("arrival_msc", F.lit(int(now)).cast("bigint")), base, "list", number)
         return True
     except Exception:
         log.exception("ticks were not saved")

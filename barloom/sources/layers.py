@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.schemas import ALERTS, BRONZE, GOLD, KEY, QUARANTINE, SILVER
+from barloom.schemas import ALERTS, BRONZE, GOLD, KEY, QUARANTINE, SILVER, on_key
 from barloom.session import work_folder
 
 log = logging.getLogger(__name__)
@@ -31,10 +31,22 @@ def _in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def replace_series(df: DataFrame, base: str, layer: str) -> str:
+def clear_series(spark: SparkSession, base: str, layer: str, series: DataFrame) -> None:
+    """Delete the files of the given series; the folders come from the rows' own files."""
+    rows = read_layer(spark, base, layer).select(*KEY, F.col("_metadata.file_path").alias("file"))
+    found = rows.join(series, on_key(rows, series), "left_semi")
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    for row in found.select(folder.alias("folder")).distinct().collect():
+        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        target.getFileSystem(conf).delete(target, True)
+
+
+def replace_series(df: DataFrame, base: str, layer: str, seen: DataFrame | None = None) -> str:
     """Write whole series: those in the frame replace their old files, others stay.
 
-    The frame comes partitioned by series and slice, so each task writes few
+    ``seen`` names all series that were processed; those without a row in the frame
+    lose their old files. The frame comes partitioned by series and slice, so each task writes few
     files; rows are in time order within a file.
     """
     path = layer_path(base, layer)
@@ -46,6 +58,9 @@ def replace_series(df: DataFrame, base: str, layer: str) -> str:
         .partitionBy(*KEY)
         .parquet(path)
     )
+    if seen is not None:
+        kept = df.select(*KEY).distinct()
+        clear_series(df.sparkSession, base, layer, seen.join(kept, on_key(seen, kept), "left_anti"))
     return path
 
 
@@ -87,6 +102,10 @@ def read_layer(
     files may have. A missing layer is an empty frame.
     """
     path = layer_path(base, layer)
+    if layer == "ticks":
+        return _selected(
+            read_ticks(spark, base), data_type=data_type, symbol=symbol, timeframe=timeframe
+        )
     schema = SCHEMAS[layer]
     try:
         if layer == "bronze":
@@ -111,6 +130,24 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_ticks(df: DataFrame, base: str, feed: str, epoch: int) -> None:
+    """Store ticks of one feed; the same feed and epoch again replaces its own rows only."""
+    (
+        df.withColumns({"feed": F.lit(feed), "epoch": F.lit(epoch).cast("bigint")})
+        .repartition(*KEY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*KEY, "feed", "epoch")
+        .parquet(layer_path(base, "ticks"))
+    )
+
+
+def read_ticks(spark: SparkSession, base: str) -> DataFrame:
+    """All stored ticks of lists and streams."""
+    found = spark.read.option("mergeSchema", True).parquet(layer_path(base, "ticks"))
+    return found.withColumns({name: F.col(name).cast("string") for name in (*KEY, "feed")})
+
+
 def append_alerts(alerts: DataFrame, base: str) -> str:
     path = layer_path(base, "alerts")
     alerts.write.mode("append").partitionBy("alert_date").parquet(path)
@@ -118,4 +155,6 @@ def append_alerts(alerts: DataFrame, base: str) -> str:
 
 
 def read_alerts(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(ALERTS).parquet(layer_path(base, "alerts"))
+    """Each alert once, however often its audit was run."""
+    found = spark.read.schema(ALERTS).parquet(layer_path(base, "alerts"))
+    return found.dropDuplicates(["model", "ts"])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.streaming.query import StreamingQuery
+
 from barloom.operators.bars import arrival_order, ohlc_aggregates
+from barloom.operators.dedup import keep_last
 
 
 def stream_bars(
@@ -32,3 +35,29 @@ def stream_bars(
             "open", "high", "low", "close", "tick_volume",
         )
     )
+
+
+def store_bars(bars: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Store every change of a bar, open ones included; a repeated micro-batch replaces itself."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        (
+            batch.withColumn("epoch", F.lit(epoch).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch")
+            .parquet(path)
+        )
+
+    return (
+        bars.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
+def stored_bars(spark: SparkSession, path: str) -> DataFrame:
+    """The latest state of each bar, the open ones at the end included."""
+    return keep_last(spark.read.parquet(path), ["epoch"]).drop("epoch")

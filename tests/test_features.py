@@ -26,18 +26,23 @@ def test_first_ten_rows_of_each_series_go(bars):
 
 def test_values_by_hand(bars):
     first = technical_features(bars).where(F.col("symbol") == "A").orderBy("time").first()
-    closes = [100.5 + i for i in range(11)]
+    days = bar_rows(11)
+    closes, volumes = [d["close"] for d in days], [d["tick_volume"] for d in days]
+    last = days[-1]
     returns = [math.log(b) - math.log(a) for a, b in zip(closes, closes[1:])]
-    high_low, close_open = math.log(111 / 109), math.log(110.5 / 110)
+    high_low, close_open = math.log(last["high"] / last["low"]), math.log(last["close"] / last["open"])
+    span, mean = last["high"] - last["low"], statistics.fmean(volumes[1:])
     assert first["log_return"] == pytest.approx(returns[-1])
     assert first["realized_volatility"] == pytest.approx(statistics.stdev(returns))
     assert first["garman_klass_volatility"] == pytest.approx(
         math.sqrt(0.511 * high_low**2 - 0.3862943611198906 * close_open**2)
     )
     assert first["parkinson_volatility"] == pytest.approx(high_low / math.sqrt(4 * math.log(2)))
-    assert first["order_flow_imbalance"] == pytest.approx(0.5 / (2 + 1e-6) * 1100)
-    assert first["volume_momentum"] == pytest.approx(1100 / (1055 + 1e-6))
-    assert first["frac_diff_proxy"] == pytest.approx(110.5 - 0.4 * 109.5 - 0.12 * 108.5)
+    assert first["order_flow_imbalance"] == pytest.approx(0.5 / (span + 1e-6) * volumes[-1])
+    assert first["volume_momentum"] == pytest.approx(volumes[-1] / (mean + 1e-6))
+    assert first["frac_diff_proxy"] == pytest.approx(
+        closes[-1] - 0.4 * closes[-2] - 0.12 * closes[-3]
+    )
     assert first["minute_sin"] == pytest.approx(math.sin(2 * math.pi * 10 / 60))
 
 
@@ -57,7 +62,7 @@ def test_prices_of_zero_give_no_feature_row(bars):
 
 def test_percent_return(bars):
     second = percent_return(bars).where("symbol = 'A'").orderBy("time").collect()[1]
-    assert second["percent_return"] == pytest.approx(1 / 100.5)
+    assert second["percent_return"] == pytest.approx(0.25 / 20.5)
 
 
 def test_frame_without_time_gives_none(spark):

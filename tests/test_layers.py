@@ -4,25 +4,25 @@ import logging
 
 import pandas as pd
 import pytest
-from conftest import at, bar_rows
+from conftest import at, bar_rows, many_bars
 from pyspark.sql import functions as F
 
 from barloom.operators.drift import drift_alerts
 from barloom.operators.quality import DataQualityError
 from barloom.plans.gold import build_gold, check_gold
-from barloom.plans.medallion import run_layers, sample_bars
+from barloom.plans.medallion import run_layers
 from barloom.plans.silver import build_silver
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars, append_ticks
 from barloom.sources.layers import append_alerts, read_alerts, read_layer, replace_series
+from barloom.streaming.ticks import guard_ticks
 
 
-def test_flow_over_two_symbols_without_data(spark, base):
-    report = {r["symbol"]: r for r in run_layers(spark, base).collect()}
-    assert set(report) == {"WIN$", "WDO$"}
-    for row in report.values():
-        assert row["bronze"] and row["silver"] and row["gold"] and row["is_valid"]
-        assert row["validated_rows"] == 90
+def test_symbols_come_from_the_rows(spark, base):
+    report = run_layers(spark, base, {"PETR4": bar_rows(25, "PETR4")}).collect()
+    assert [(r["symbol"], r["validated_rows"]) for r in report] == [("PETR4", 15)]
+    with pytest.raises(ValueError, match="B"):
+        run_layers(spark, base, {"A": bar_rows(25, "A")}, symbols=["A", "B"])
 
 
 def test_step_by_step(spark, base):
@@ -33,16 +33,11 @@ def test_step_by_step(spark, base):
     assert [(r["symbol"], r["is_valid"], r["validated_rows"]) for r in report] == [("TEST$", True, 15)]
     silver = read_layer(spark, base, "silver", "futures", "TEST$", "M5").orderBy("time").collect()
     assert len(silver) == 25
-    assert silver[1]["frac_diff_close"] == pytest.approx(101.5 - 0.4 * 100.5)
-
-
-def test_given_rows_and_samples_mix(spark, base):
-    report = run_layers(spark, base, {"A": bar_rows(25, "A")}, symbols=["A", "B"])
-    assert {r["symbol"]: r["validated_rows"] for r in report.collect()} == {"A": 15, "B": 90}
+    assert silver[1]["frac_diff_close"] == pytest.approx(20.75 - 0.4 * 20.5)
 
 
 def test_frame_with_many_series(spark, base):
-    frame = sample_bars(spark, ["A", "B", "C"], 30).withColumn(
+    frame = many_bars(spark, ["A", "B", "C"], 30).withColumn(
         "timeframe", F.when(F.col("symbol") == "C", "M1").otherwise("M5")
     )
     report = run_layers(spark, base, frame).collect()
@@ -54,11 +49,11 @@ def test_frame_with_many_series(spark, base):
 def test_later_batch_corrects_an_earlier_one(spark, base):
     rows = bar_rows(3)
     append_bars(spark, base, rows, "A", "M1")
-    append_bars(spark, base, [{**rows[1], "close": 101.9}], "A", "M1")
+    append_bars(spark, base, [{**rows[1], "close": 20.9}], "A", "M1")
     assert read_layer(spark, base, "bronze").count() == 4
     build_silver(spark, base)
     closes = [r["close"] for r in read_layer(spark, base, "silver").orderBy("time").collect()]
-    assert closes == [100.5, 101.9, 102.5]
+    assert closes == [20.5, 20.9, 21.0]
 
 
 def test_strict_raises_and_quarantine_keeps(spark, base):
@@ -92,7 +87,7 @@ def test_ingest_results(spark, base):
 
 
 def test_replacing_one_series_leaves_others(spark, base):
-    frame = sample_bars(spark, ["007", "B"], 5).withColumns(
+    frame = many_bars(spark, ["007", "B"], 5).withColumns(
         {"data_type": F.lit("futures"), "timeframe": F.lit("M5")}
     )
     replace_series(frame, base, "silver")
@@ -116,7 +111,7 @@ def test_tick_age(spark, base, age, kept):
 def test_ticks_without_time_or_rows(spark, base):
     assert append_ticks(spark, base, "WIN$", [])
     assert append_ticks(spark, base, "WIN$", [{"bid": 1.0}])
-    assert spark.read.parquet(f"{base}/ticks").count() == 1
+    assert read_layer(spark, base, "ticks").count() == 1
 
 
 def test_alerts(spark, base):
@@ -129,10 +124,70 @@ def test_alerts(spark, base):
     append_alerts(drift_alerts(metrics), base)
     alerts = read_alerts(spark, base).collect()
     assert sorted((r["model"], str(r["alert_date"])) for r in alerts) == [
-        ("a", "2026-08-19"), ("a", "2026-08-19"), ("c", "2026-08-20"), ("c", "2026-08-20"),
+        ("a", "2026-08-19"), ("c", "2026-08-20"),
     ]
 
 
+def test_alerts_keep_their_other_metrics(spark, base):
+    metrics = spark.createDataFrame(
+        [("a", at("2026-08-19 10:00:00"), 1.2, 7.5)],
+        "model string, ts timestamp_ntz, sharpe_ratio double, latency_ms double",
+    )
+    append_alerts(drift_alerts(metrics), base)
+    assert read_alerts(spark, base).first()["metrics"] == '{"latency_ms":7.5}'
+
+
+def test_one_bad_series_holds_no_other(spark, base):
+    rows = bar_rows(5, "BAD")
+    rows[2]["low"] = 1000.0
+    frame = spark.createDataFrame(pd.DataFrame(rows)).unionByName(many_bars(spark, ["A", "B"], 5))
+    append_bars(spark, base, frame, timeframe="M1")
+    build_silver(spark, base)
+    counts = read_layer(spark, base, "silver").groupBy("symbol").count().collect()
+    assert {r["symbol"]: r["count"] for r in counts} == {"A": 5, "B": 5}
+    refused = read_layer(spark, base, "quarantine").collect()
+    assert [(r["symbol"], r["reason"]) for r in refused] == [("BAD", "price_rule")]
+
+
+def test_a_series_without_rows_loses_its_files(spark, base):
+    append_bars(spark, base, bar_rows(1, "A$ x"), "A$ x", "M1")
+    append_bars(spark, base, bar_rows(3, "B"), "B", "M1")
+    build_silver(spark, base)
+    append_bars(spark, base, [{**bar_rows(1)[0], "high": 0.0}], "A$ x", "M1")
+    build_silver(spark, base, strict=False)
+    assert {r["symbol"] for r in read_layer(spark, base, "silver").collect()} == {"B"}
+    assert read_layer(spark, base, "quarantine").count() == 1
+    append_bars(spark, base, bar_rows(1), "A$ x", "M1")
+    build_silver(spark, base)
+    assert read_layer(spark, base, "quarantine").count() == 0
+    assert {r["symbol"] for r in read_layer(spark, base, "silver").collect()} == {"A$ x", "B"}
+
+
+def test_batches_name_and_type_their_time_differently(spark, base):
+    first, second, third = bar_rows(2), bar_rows(2, start=2), bar_rows(2, start=4)
+    append_bars(spark, base, first, "A", "M1")
+    renamed = [{**{k: v for k, v in r.items() if k != "time"}, "timestamp": r["time"]} for r in second]
+    append_bars(spark, base, renamed, "A", "M1")
+    append_bars(spark, base, [{**r, "time": 1741000000 + k} for k, r in enumerate(third)], "A", "M1")
+    build_silver(spark, base)
+    assert read_layer(spark, base, "silver").count() == 6
+
+
+def test_lists_and_streams_of_ticks_share_a_layout(spark, base, tmp_path):
+    append_ticks(spark, base, "WIN$", [{"time_msc": 10, "bid": 1.0}], now_msc=10, batch_id=1)
+    schema = "data_type string, symbol string, timeframe string, batch_id bigint, ingest_seq bigint, time_msc bigint"
+    for number in (2, 3):  # two feeds, each with a checkpoint of its own
+        source = str(tmp_path / f"feed{number}")
+        rows = [("futures", "WIN$", "ticks", number, number, 10 * number)]
+        spark.createDataFrame(rows, schema).write.parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        guard_ticks(
+            stream, base, f"{base}/checkpoint{number}", clock=lambda: 5, availableNow=True
+        ).awaitTermination()
+    found = read_layer(spark, base, "ticks", symbol="WIN$").collect()
+    assert {r["batch_id"] for r in found} == {1, 2, 3}
+
+
 def test_work_folder_lies_in_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(f"{shared}/x-")

@@ -6,7 +6,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from barloom.plans.catalog import QUERIES
+from barloom.plans.oracles import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,10 +32,10 @@ def rows(table):
     return types, sorted(repr(row) for row in zip(*columns))
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
-    found = rows(queries()[name](spark, SF_DIR).toArrow())
-    expected = rows(duck.sql(oracle_sql()[name]).to_arrow_table())
+    found = rows(QUERIES[name](spark, SF_DIR).toArrow())
+    expected = rows(duck.sql(ORACLES[name]).to_arrow_table())
     assert found[0] == expected[0]
     assert found[1] == expected[1]
 

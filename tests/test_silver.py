@@ -6,7 +6,9 @@ from conftest import at, bar_rows
 
 from barloom.operators.conform import conform, drop_incomplete, fill_volumes
 from barloom.operators.dedup import keep_last
-from barloom.operators.quality import DataQualityError
+from pyspark.sql import functions as F
+
+from barloom.operators.quality import DataQualityError, series_verdicts
 from barloom.plans.silver import clean_bars, prepare_bars
 
 ORDERED = [
@@ -54,9 +56,44 @@ def test_incomplete_rows_go(spark):
 
 def test_two_spellings_of_one_instant_are_one_bar(spark):
     rows = bar_rows(2)
-    rows[0]["time"], rows[1]["time"] = "2026-01-01 00:00:00", "2026-01-01T09:00:00"
+    rows[0]["time"], rows[1]["time"] = "2026-01-01 09:00:00", "2026-01-01T09:00:00"
     cleaned = clean_bars(rows).collect()
-    assert [(r["time"], r["close"]) for r in cleaned] == [(at("2026-01-01 09:00:00"), 101.5)]
+    assert [(r["time"], r["close"]) for r in cleaned] == [(at("2026-01-01 09:00:00"), 20.75)]
+
+
+def test_a_midnight_bar_takes_no_other_bars_place(spark):
+    rows = bar_rows(3)
+    for row, hour in zip(rows, ("00", "09", "10")):
+        row["time"] = f"2026-01-01 {hour}:00:00"
+    frame = spark.createDataFrame(pd.DataFrame(rows))
+    assert prepare_bars(frame).count() == 3
+    hourly = prepare_bars(frame.withColumn("timeframe", F.lit("H1")))
+    assert {r["time"].hour for r in hourly.collect()} == {0, 9, 10}
+    daily = prepare_bars(frame.where("time like '%00:00:00'").withColumn("timeframe", F.lit("D1")))
+    assert [r["time"].hour for r in daily.collect()] == [9]
+
+
+def test_unparsed_times_are_all_seen(spark):
+    rows = bar_rows(4)
+    for row in rows[:3]:
+        row["time"] = "soon"
+    rows[1]["high"] = 1.0
+    verdict = series_verdicts(prepare_bars(spark.createDataFrame(pd.DataFrame(rows)))).first()
+    assert (verdict["bars"], verdict["unparsed_time"], verdict["held"]) == (4, 3, True)
+
+
+def test_an_infinite_price_spoils_no_other_bar(spark):
+    rows = [{**row, "original_contract": "A" if k < 6 else "B"} for k, row in enumerate(bar_rows(12))]
+    rows[6]["close"] = rows[6]["high"] = float("inf")
+    cleaned = clean_bars(spark.createDataFrame(pd.DataFrame(rows)), roots=None)
+    assert cleaned.count() == 11
+    assert cleaned.where("abs(close) < 100").count() == 11
+
+
+def test_a_text_price_is_one_bad_bar(spark):
+    rows = [{**row, "close": str(row["close"])} for row in bar_rows(3)]
+    rows[2]["close"] = "n/a"
+    assert clean_bars(spark.createDataFrame(pd.DataFrame(rows))).count() == 2
 
 
 @pytest.mark.parametrize("form", ["list", "pandas", "spark"])
@@ -92,7 +129,7 @@ def test_bad_bars_raise_or_go(spark):
     rows[1]["high"] = 1.0
     with pytest.raises(DataQualityError):
         clean_bars(rows, strict=True)
-    assert [r["close"] for r in clean_bars(rows).orderBy("time").collect()] == [100.5, 102.5]
+    assert [r["close"] for r in clean_bars(rows).orderBy("time").collect()] == [20.5, 21.0]
 
 
 def test_unparsed_time_goes(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.ticks import flag_stale, stale_batches
 from barloom.streaming.bars import stream_bars
-from barloom.streaming.ticks import guard_ticks
+from barloom.streaming.ticks import dead_letters, fresh_ticks, guard_ticks
 
 SCHEMA = (
     "data_type string, symbol string, timeframe string, batch_id bigint, ingest_seq bigint, "
@@ -33,6 +33,27 @@ def test_last_tick_by_arrival_decides(spark):
     assert {r["ingest_seq"] for r in kept} == {3, 4, 6, 7}
 
 
+def test_batches_of_two_symbols_are_judged_apart(spark):
+    rows = [tick(7, 1, 100, 5000), tick(7, 2, 5000, 5000)[:1] + ("WDO$",) + tick(7, 2, 5000, 5000)[2:]]
+    flagged = flag_stale(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["symbol"]: r["is_stale"] for r in flagged} == {"WIN$": True, "WDO$": False}
+
+
+def test_ticks_without_batch_number_stay(spark):
+    rows = [tick(None, 1, 4995, 5000), tick(None, 2, 4995, 5000), tick(1, 3, 5000, 5000)]
+    assert flag_stale(spark.createDataFrame(rows, SCHEMA)).where(~F.col("is_stale")).count() == 3
+
+
+def test_a_batch_in_two_micro_batches_has_one_verdict(spark, base, tmp_path):
+    source = str(tmp_path / "feed")
+    for row in (tick(1, 1, 100, 5000), tick(1, 2, 4995, 5000)):
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    guard_ticks(stream, base, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    assert fresh_ticks(spark, base).count() == 2
+    assert dead_letters(spark, base).count() == 0
+
+
 def test_no_time_no_check(spark):
     df = spark.createDataFrame(TICKS, SCHEMA).drop("time_msc")
     assert flag_stale(df).where("is_stale").count() == 0
@@ -45,7 +66,7 @@ def test_stream_matches_batch(spark, base, tmp_path):
     df.where("batch_id >= 3").coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
     guard_ticks(stream, base, f"{base}/checkpoint", availableNow=True).awaitTermination()
-    fresh, dead = spark.read.parquet(f"{base}/ticks"), spark.read.parquet(f"{base}/dead_letter")
+    fresh, dead = fresh_ticks(spark, base), dead_letters(spark, base)
     assert {r["ingest_seq"] for r in fresh.collect()} == {3, 4, 6, 7}
     assert {r["ingest_seq"] for r in dead.collect()} == {1, 2, 5}
 
@@ -58,7 +79,7 @@ def test_stream_uses_the_clock_without_stated_arrival(spark, base, tmp_path):
     guard_ticks(
         stream, base, f"{base}/checkpoint", clock=lambda: 5000, availableNow=True
     ).awaitTermination()
-    fresh = spark.read.parquet(f"{base}/ticks")
+    fresh = fresh_ticks(spark, base)
     assert {r["ingest_seq"] for r in fresh.collect()} == {3, 4, 6, 7}
 
 
