@@ -31,13 +31,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Of repeated rows of that document one stays. Rows without an id can't be told
     apart by it, and stay.
     """
-    found = simhash.near_duplicates(docs).where("doc_id = component_id")
-    kept = stage(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")), "kept")
+    found = stage(simhash.near_duplicates(docs).select("doc_id", "component_id"), "groups")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_key"))
-    own = rows.join(kept, F.col("_key") == F.col("_id")).select("row", "_key")
-    if kept.where("_n > 1").take(1):
-        own = own.dropDuplicates(["_key"])
-    return own.unionByName(rows.where("_key is null")).select("row.*")
+    # the ids that go are the shorter list: Spark may broadcast it and leave the texts in place
+    own = rows.join(stage(copies, "copies"), F.col("_key") == F.col("_id"), "left_anti")
+    heads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    if heads.where("n > 1").take(1):
+        named = own.where("_key is not null").dropDuplicates(["_key"])
+        own = named.unionByName(own.where("_key is null"))
+    return own.select("row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
