@@ -207,7 +207,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     # fifty keys a row: enough partitions for the keys, which adaptive execution doesn't know
     least = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, -(-prints.count() // EXPANDED))
-    dealt = prints.select("print").distinct().repartition(parts, "print")
+    # by another expression than the distinct above it: else Spark joins both exchanges and merges tasks
+    dealt = prints.select("print").distinct().repartition(parts, F.xxhash64("print"))
     keys = dealt.mapInArrow(expand, "key long, print long")
     buckets = keys.groupBy("key").agg(
         F.count("*").alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
