@@ -19,6 +19,10 @@ share is settled by the counts alone; larger buckets are cut into blocks, and a
 task compares two blocks and returns a spanning forest, never all pairs. Links are
 joined to components by alternating star steps, each written to the shared folder.
 
+Keys are made a second time for the larger buckets. A bit set of fixed size, in which
+each such bucket sets one bit, keeps nearly all other keys from that second shuffle;
+the join after it is exact, so a fuller bit set costs time and no links.
+
 Defined cases: a null or wordless text has fingerprint zero and links like any
 other; a null doc_id keeps its row and never names a component unless all ids of
 the component are null; repeated rows return as often as they come; other columns
@@ -47,6 +51,8 @@ BLOCK = 512
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 CHUNK = 1 << 16
 EXPANDED = 100_000
+PLACES = (1 << 24) - 3  # a prime
+BITMAP_BYTES = 4096  # of Spark's bitmap functions
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -178,18 +184,47 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return source.mapInArrow(convert, f"doc_id {id_type}, print long")
 
 
-def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): links that join all distinct fingerprints within the distance."""
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """One bit for the place of each key: 2 MB, however many keys there are."""
+    place = F.col("key") % PLACES + 1  # bitmaps count from one
+    rows = (
+        keys.groupBy(F.bitmap_bucket_number(place).alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
+    )
+    found = np.zeros((PLACES // 8 // BITMAP_BYTES + 1, BITMAP_BYTES), dtype=np.uint8)
+    for row in rows:
+        found[row.part - 1] = np.frombuffer(row.bits, dtype=np.uint8)
+    return found.reshape(-1)
+
+
+def in_bits(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = keys % PLACES
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def expanded(dealt: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """(key, print) of every fingerprint, or those keys whose bit is set in ``wanted``."""
+    shared = None if wanted is None else dealt.sparkSession.sparkContext.broadcast(wanted)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 values = batch.column(0).slice(at, CHUNK).to_numpy(zero_copy_only=False)
                 row, key = fuzzy_keys(values.view(np.uint64))
+                if shared is not None:
+                    use = in_bits(key, shared.value)
+                    row, key = row[use], key[use]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(values[row])], names=["key", "print"]
                 )
 
+    return dealt.mapInArrow(expand, "key long, print long")
+
+
+def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(a, b): links that join all distinct fingerprints within the distance."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column(0), batch.column(1)):
@@ -209,8 +244,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     parts = max(least, -(-prints.count() // EXPANDED))
     # by another expression than the distinct above it: else Spark joins both exchanges and merges tasks
     dealt = prints.select("print").distinct().repartition(parts, F.xxhash64("print"))
-    keys = dealt.mapInArrow(expand, "key long, print long")
-    buckets = keys.groupBy("key").agg(
+    buckets = expanded(dealt).groupBy("key").agg(
         F.count("*").alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
     )
     shared = stage(buckets.where("n > 1"), "buckets")
@@ -220,6 +254,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     )
     large = shared.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    keys = expanded(dealt, bits_of(large))
     own = F.pmod(F.xxhash64("print"), F.col("blocks"))
     compared = (
         keys.join(large, "key")

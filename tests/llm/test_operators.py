@@ -114,6 +114,17 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, block):
         assert roots.get(value, value) == min(v for v, g in zip(values, groups) if g == group)
 
 
+def test_the_bit_set_holds_every_key(spark):
+    chance = random.Random(9)
+    keys = [0, 1, simhash.PLACES - 1, simhash.PLACES] + [chance.getrandbits(44) for _ in range(500)]
+    bits = simhash.bits_of(spark.createDataFrame([(k,) for k in keys], "key long"))
+    assert simhash.in_bits(np.array(keys), bits).all()
+    places = {k % simhash.PLACES for k in keys}
+    others = np.array([k for k in range(0, 1 << 24, 997) if k % simhash.PLACES not in places])
+    assert not simhash.in_bits(others, bits).any() and int(np.bitwise_count(bits).sum()) == len(places)
+    assert not simhash.bits_of(spark.createDataFrame([], "key long")).any()
+
+
 def test_a_chain_is_one_component(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)] + [(90, 91)], "a long, b long")
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
