@@ -13,7 +13,8 @@ every text is read whole.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
 rejected; without any labelled rows all texts are; rows without a language or a
 doc_id teach nothing; ties go to the language first in alphabetical order; repeated
-rows return as often as they come; other columns are ignored.
+rows teach once (of one doc_id and language the least text) and return as often as they
+come; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extended, training_row
+from .common import extended, stage, training_row
 from .ngrams import (
     DIMENSIONS,
     gram_counts,
@@ -128,7 +129,14 @@ def train(
             )
 
     samples: dict[str, list[bytes]] = {}
-    own = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    # written first: Spark then knows its size, and broadcasts it only if it is small
+    chosen = stage(chosen, "sample")
+    own = (
+        docs.select("doc_id", "lang", "text")
+        .join(chosen, ["doc_id", "lang"])
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
+    )
     found = own.select("lang", "text").mapInArrow(count, "lang string, counts binary").collect()
     for lang, data in sorted((row.lang, bytes(row.counts)) for row in found):
         if data:
