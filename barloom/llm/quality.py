@@ -12,9 +12,9 @@ document is scored on its whole text.
 
 Defined cases: a null or empty text, and a text like no labelled one, gets the mean
 label; without labelled rows the score is 0.5; null labels teach nothing, and a
-document with several labels counts with their mean; all neighbours as near as the
-last one vote; repeated rows return as often as they come; other columns
-are ignored.
+document with several labels counts with their mean; of repeated labelled rows the
+least text teaches; all neighbours as near as the last one vote; repeated rows return
+as often as they come; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -123,7 +123,12 @@ def train(
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    own = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")  # ``sample`` rows at most
+        .groupBy("doc_id")
+        .agg(F.min("_label").alias("_label"), F.min("text").alias("text"))
+    )
     found = (
         own.select("doc_id", "_label", "text")
         .mapInArrow(count, f"doc_id {kind}, _label double, counts binary")
