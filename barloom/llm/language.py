@@ -40,6 +40,7 @@ from .ngrams import (
 
 SIZES = (1, 2, 3)
 SAMPLE = 400
+PARTS = 16
 CLUSTERS = 4
 ROUNDS = 12
 REJECT = 0.5
@@ -103,6 +104,12 @@ class Model:
         return names, score.tolist(), (~known | (score < self.least[best])).tolist()
 
 
+def least(rows: DataFrame, keys: list[str], many: int) -> DataFrame:
+    """The rows of least hash of each group."""
+    order = Window.partitionBy(*keys).orderBy("_hash", "doc_id")
+    return rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= many).drop("_place")
+
+
 def train(
     docs: DataFrame,
     teaches: Column | None = None,
@@ -113,13 +120,10 @@ def train(
     """Learn from at most ``sample`` rows of each language."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null")
     rows = rows.where(training_row() if teaches is None else teaches).select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        rows.distinct()
-        .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= sample)
-        .drop("_place")
-    )
+    hashed = rows.distinct().withColumn("_hash", F.xxhash64("doc_id"))
+    # by parts first, so that a frequent language is no single task
+    parts = least(hashed.withColumn("_part", F.pmod("_hash", F.lit(PARTS))), ["lang", "_part"], sample)
+    chosen = least(parts, ["lang"], sample).select("doc_id", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
