@@ -10,7 +10,14 @@ The unknown class is calibrated on a part of these rows that training did not se
 a family counts only above a probability halfway between what other lines reach and
 what lines of the family keep. A paragraph below it that is not ``none`` either is
 unknown. A family is confirmed if a template of it has at least ``SHARE`` of its
-three-word shingles in the paragraph; else the paragraph is unknown too.
+three-word shingles in the paragraph, and the paragraph the words that tell the family
+from its relatives (``TELLING``); else the paragraph is unknown too.
+
+A notice may run over several lines up to a line without a word, or stand within a long
+line. Texts that share a shingle with a template are therefore searched for stretches
+that have ``SHARE`` of a template; the words of such a stretch are classified and
+confirmed like a paragraph. It counts at the line where it starts, and the other lines
+it runs over are not unknown.
 
 All text is scored, on the JVM, without Python.
 
@@ -25,9 +32,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import stage
+
 NONE, UNKNOWN = "none", "unknown"
 PLACES = 1 << 12
 SAMPLE = 2000
@@ -62,7 +71,37 @@ TEMPLATES = {
     ],
     "reserved": [
         "Copyright. All rights reserved.",
+        "All rights reserved.",
+    ],
+}
+#: Relatives of these families, which differ by a word or two.
+RELATIVES = {
+    "agpl": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License.",
+    ],
+    "cc-by-nc": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "cc-by-sa": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
+    "lgpl": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
+    ],
+}
+FURTHER = r"(?! (?:nc|nd|sa|non ?commercial|no ?deriv|share ?alike))"
+#: What the words of a notice must have to be of a family that has relatives.
+TELLING = {
+    "agpl": r"\b(?:affero|agpl)",
+    "cc-by": rf"\b(?:cc by|commons attribution)\b{FURTHER}",
+    "cc-by-nc": rf"\b(?:cc by|attribution) (?:nc|non ?commercial)\b{FURTHER}",
+    "cc-by-sa": r"\b(?:cc by|attribution) (?:sa|share ?alike)\b",
+    "gpl": r"\b(?:gnu general public|gnu gpl)\b",
+    "lgpl": r"\b(?:lesser general|library general|lgpl)",
 }
 
 
@@ -99,6 +138,84 @@ def closeness(words: Column, template_words: Column) -> Column:
     return F.size(F.array_intersect(shingles(words), own)) / F.size(own)
 
 
+def told(words: Column, family: Column) -> Column:
+    """Whether the words have what tells the family from its relatives."""
+    text = F.array_join(words, " ")
+    verdict = F.lit(True)
+    for name, pattern in TELLING.items():
+        verdict = F.when(family == name, text.rlike(pattern)).otherwise(verdict)
+    return verdict
+
+
+def stretches(docs: DataFrame, templates: DataFrame, share: float = SHARE) -> DataFrame:
+    """(doc_id, sig, family, place, last, words, around): where a template begins and ends.
+
+    ``place`` and ``last`` are lines, ``around`` has a few words more than ``words``.
+    """
+    own = templates.select("family", shingles(F.col("words")).alias("own"), (2 * F.size("words")).alias("reach"))
+    listed = templates.agg(F.array_distinct(F.flatten(F.collect_list(shingles(F.col("words"))))).alias("all"))
+    known = F.array(*map(F.lit, listed.first()["all"] or [])).cast("array<string>")
+    # through an array of one, as the words must not be split anew for every shingle
+    words = F.array(tokens(F.col("text")))
+    some = docs.where(F.get(F.transform(words, lambda x: F.arrays_overlap(shingles(x), known)), F.lit(0)))
+    some = some.select("doc_id", F.xxhash64("text").alias("sig"), "text").dropDuplicates(["doc_id", "sig"])
+    lines = some.select("doc_id", "sig", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    lines = lines.select("doc_id", "sig", "place", tokens(F.col("line")).alias("words"))
+    order = Window.partitionBy("doc_id", "sig").orderBy("place")
+    blocks = (
+        lines.withColumn("block", F.sum(F.when(F.size("words") == 0, 1).otherwise(0)).over(order))
+        .where(F.size("words") > 0)
+        .groupBy("doc_id", "sig", "block")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "words"))).alias("lines"))
+        .select(
+            "doc_id",
+            "sig",
+            F.flatten("lines.words").alias("words"),
+            F.flatten(F.transform("lines", lambda x: F.array_repeat(x["place"], F.size(x["words"])))).alias("places"),
+        )
+    )
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - SHINGLE + 1, F.lit(1)))
+    runs = F.transform(starts, lambda k: F.array_join(F.slice("words", k, SHINGLE), " "))
+    near = (
+        blocks.withColumn("runs", runs)
+        .join(F.broadcast(own), F.arrays_overlap("runs", "own"))
+        .where(F.size(F.array_intersect("runs", "own")) >= share * F.size("own"))
+        .withColumn(
+            "hits", F.filter(F.transform("runs", lambda x, k: F.when(F.array_contains("own", x), k)), F.isnotnull)
+        )
+    )
+
+    def ahead(at: Column) -> Column:
+        return F.slice("runs", at + 1, F.col("reach"))
+
+    def shared(part: Column) -> Column:
+        return F.size(F.array_intersect(part, "own"))
+
+    def step(acc: Column, at: Column) -> Column:
+        most = shared(ahead(at))
+        lengths = F.sequence(F.lit(1), F.size(ahead(at)))
+        least = F.array_min(F.filter(lengths, lambda n: shared(F.slice("runs", at + 1, n)) == most))
+        end = at + least - 1
+        found = F.concat(acc["found"], F.array(F.struct(at.alias("first"), end.alias("end"))))
+        begins = (at > acc["end"]) & (most >= share * F.size("own"))
+        return F.when(begins, F.struct(end.alias("end"), found.alias("found"))).otherwise(acc)
+
+    none = F.struct(
+        F.lit(-1).alias("end"), F.array().cast("array<struct<first:int,end:int>>").alias("found")
+    )
+    each = near.withColumn("one", F.explode(F.aggregate("hits", none, step)["found"]))
+    size = F.col("one.end") - F.col("one.first") + SHINGLE
+    return each.select(
+        "doc_id",
+        "sig",
+        "family",
+        F.get("places", F.col("one.first")).alias("place"),
+        F.get("places", F.least(F.col("one.end") + SHINGLE, F.size("words")) - 1).alias("last"),
+        F.slice("words", F.col("one.first") + 1, size).alias("words"),
+        F.slice("words", F.col("one.first") + 1, size + SHINGLE).alias("around"),
+    )
+
+
 def training_rows(docs: DataFrame, templates: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(family, words, fold): templates, templates within corpus words, corpus lines."""
     least = docs.where("text is not null and doc_id is not null").select("doc_id").distinct()
@@ -181,22 +298,26 @@ def scan(docs: DataFrame, templates: DataFrame, classifier: Classifier, share: f
     lines = paragraphs(docs)
     found = classifier.classify(lines).where(F.col("family") != NONE)
     own = templates.select(F.col("family").alias("_family"), F.col("words").alias("_words"))
+    own_share = F.when(told(F.col("words"), F.col("_family")), closeness(F.col("words"), F.col("_words")))
     confirmed = (
         found.join(own, F.col("family") == F.col("_family"), "left")
-        .withColumn("_near", F.coalesce(closeness(F.col("words"), F.col("_words")), F.lit(0.0)))
+        .withColumn("_near", F.coalesce(own_share, F.lit(0.0)))
         .groupBy("doc_id", "sig", "place", "family")
         .agg(F.max("_near").alias("_near"))
     )
     family = F.when(F.col("_near") >= share, F.col("family")).otherwise(UNKNOWN)
+    judged = confirmed.select("doc_id", "sig", "place", F.col("place").alias("last"), family.alias("family"))
+    runs = stage(stretches(docs, templates, share).withColumnRenamed("family", "_own"), "stretches")
+    runs = classifier.classify(runs).where((F.col("family") == F.col("_own")) & told(F.col("around"), F.col("_own")))
+    known = F.col("family") != UNKNOWN
+    over = F.flatten(F.collect_list(F.when(known, F.sequence("place", "last"))))
     per_doc = (
-        confirmed.withColumn("family", family)
+        judged.unionByName(runs.select("doc_id", "sig", "place", "last", "family"))
         .groupBy("doc_id", "sig")
         .agg(
-            F.count_distinct(F.when(F.col("family") != UNKNOWN, F.col("place"))).alias("n_licensed"),
-            F.count_distinct(F.when(F.col("family") == UNKNOWN, F.col("place"))).alias("n_unknown"),
-            F.array_join(
-                F.array_sort(F.collect_set(F.when(F.col("family") != UNKNOWN, F.col("family")))), ","
-            ).alias("licences"),
+            F.count_distinct(F.when(known, F.col("place"))).alias("n_licensed"),
+            F.size(F.array_except(F.collect_set(F.when(~known, F.col("place"))), over)).cast("long").alias("n_unknown"),
+            F.array_join(F.array_sort(F.collect_set(F.when(known, F.col("family")))), ",").alias("licences"),
         )
     )
     all_lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))

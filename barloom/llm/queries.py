@@ -36,7 +36,7 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    templates = licences.template_table(spark, licences.TEMPLATES)
+    templates = licences.template_table(spark, licences.TEMPLATES | licences.RELATIVES)
     return licences.scan(docs, templates, licences.train(docs, templates))
 
 

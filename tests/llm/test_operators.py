@@ -347,6 +347,39 @@ def test_licences(spark):
     assert licences.scan(empty(spark), templates, classifier).count() == 0
 
 
+NOTICES = [
+    ("All rights reserved.", "reserved", 1),
+    ("Copyright 2024 Acme. All rights reserved.", "reserved", 1),
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc", 1),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc", 1),
+    (
+        " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the"
+        " GNU General Public License as published by\n * the Free Software Foundation.", "gpl", 1,
+    ),
+    (
+        "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser"
+        " General Public\nLicense as published by the Free Software Foundation.", "lgpl", 1,
+    ),
+    (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
+        " that the following conditions\nare met.", "bsd", 1,
+    ),
+    ("Released under the MIT License.\n" * 2 + "Released under\nthe MIT License.", "mit", 3),
+    ("All rights\n\nreserved.", "", 0),
+    ("all the rights of the reserved seats", "", 0),
+]
+
+
+def test_notices_as_they_occur(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    templates = licences.template_table(spark, licences.TEMPLATES | licences.RELATIVES)
+    classifier = licences.train(docs, templates)
+    frame = docs_of(spark, [f"some words of prose\n{text}\nand other words" for text, _, _ in NOTICES])
+    rows = licences.scan(frame, templates, classifier).orderBy("doc_id").collect()
+    assert [(r.licences, r.n_licensed) for r in rows] == [(name, n) for _, name, n in NOTICES]
+    assert [r.n_unknown for r in rows if r.licences] == [0] * 8
+
+
 # 8
 
 
