@@ -3,12 +3,15 @@
 Rules name a host and a path. A rule fits its host and all subdomains if the URL's
 path starts with the rule's path; the longest rule that fits decides.
 
-Elsewhere the link graph decides. Hosts of which most pages are allowed by a rule
-are trusted seeds, hosts of which most pages are blocked are distrusted seeds. Trust
+Elsewhere the link graph decides. A host with pages that a rule allows is a trusted
+seed, one with pages that a rule blocks a distrusted seed, and one with both is both:
+its weight in either walk is the share of its pages that the rules allow or block. Trust
 is a personalised PageRank from the trusted seeds along the links between hosts,
 distrust one from the blocked seeds against the links' direction, so that it reaches
 hosts that link to bad ones. A host is blocked if its distrust is above its trust
-and above ``LEAST`` of what an evenly distrusted host would have.
+and above ``LEAST`` of what an evenly distrusted host would have. The distrust that a
+host starts with itself counts in this verdict if most of its pages are blocked: a rule
+for some paths of a host doesn't block its other paths.
 
 Links are reduced to weighted host pairs before the first round. Both walks run as
 one table keyed by (walk, host); every few rounds it is written to the shared
@@ -133,6 +136,16 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     return ranks
 
 
+def seeds_of(share: DataFrame) -> DataFrame:
+    """(walk, host, weight) from pages, allowed and blocked of each host."""
+    walks = F.array(
+        F.struct(F.lit("trust").alias("walk"), (F.col("allowed") / F.col("pages")).alias("weight")),
+        F.struct(F.lit("distrust").alias("walk"), (F.col("blocked") / F.col("pages")).alias("weight")),
+    )
+    each = share.where("host <> ''").select("host", F.explode(walks).alias("one"))
+    return each.select("one.walk", "host", "one.weight").where("weight > 0")
+
+
 def judge(pages: DataFrame, rules: DataFrame, least: float = LEAST, rounds: int = ROUNDS) -> DataFrame:
     """page_id, host, path, rule and verdict of every page, with trust and distrust."""
     url = F.col("url")
@@ -144,22 +157,22 @@ def judge(pages: DataFrame, rules: DataFrame, least: float = LEAST, rounds: int
         F.sum(F.when(F.col("rule_verdict") == "allow", F.col("pages")).otherwise(0)).alias("allowed"),
         F.sum(F.when(F.col("rule_verdict") == "block", F.col("pages")).otherwise(0)).alias("blocked"),
     )
-    seeds = share.where("host <> ''").select(
-        "host",
-        F.when(F.col("allowed") * 2 > F.col("pages"), "trust")
-        .when(F.col("blocked") * 2 > F.col("pages"), "distrust")
-        .alias("walk"),
-        F.lit(1.0).alias("weight"),
-    ).where("walk is not null")
+    seeds = stage(seeds_of(share), "weights")
     ranks = propagate(seeds, host_links(pages), rounds=rounds)
+    some = seeds.where("walk = 'distrust'")
+    total = some.agg(F.sum("weight")).first()[0] or 1.0
+    own = some.where("weight <= 0.5").select(
+        "host", ((1 - DAMPING) / total * F.col("weight")).alias("own")
+    )
     hosts = ranks.groupBy("host").agg(
         F.sum(F.when(F.col("walk") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("walk") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"),
     )
     spread = ranks.where("walk = 'distrust'").agg(F.count("*").alias("hosts"))
     even = least / max(1, spread.first()[0])
-    bad = F.coalesce((F.col("distrust") > F.col("trust")) & (F.col("distrust") > even), F.lit(False))
-    hosts = stage(hosts.withColumn("bad", bad), "hosts")
+    sent = F.col("distrust") - F.coalesce("own", F.lit(0.0))
+    bad = F.coalesce((sent > F.col("trust")) & (sent > even), F.lit(False))
+    hosts = stage(hosts.join(own, "host", "left").withColumn("bad", bad).drop("own"), "hosts")
     return (
         placed.join(ruled, ["host", "path"], "left")
         .join(hosts, "host", "left")

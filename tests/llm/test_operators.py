@@ -218,6 +218,17 @@ def test_url_verdicts(spark):
     assert urls.judge(pages.limit(0), urls.rule_table(spark, URL_RULES)).count() == 0
 
 
+def test_a_host_of_both_kinds_seeds_both_walks(spark):
+    mixed = [(k, f"http://mixed.com/{path}", "") for k, path in enumerate(["de/1", "fr/1", "en/1", "en/2"])]
+    pages = [*mixed, (10, "http://liar.net/", '<a href="http://mixed.com/de/1">'), (11, "http://else.net/", "")]
+    frame = spark.createDataFrame(pages, "page_id int, url string, html string")
+    rows = {r.page_id: r for r in urls.judge(frame, urls.rule_table(spark, URL_RULES)).collect()}
+    assert rows[0].trust > 0 and rows[0].distrust > 0
+    assert [rows[k].verdict for k in (0, 1, 2, 3, 10, 11)] == ["block", "allow", "allow", "allow", "block", "allow"]
+    counts = spark.createDataFrame([("a.b", 4, 1, 2), ("c.d", 3, 0, 0), ("", 1, 1, 0)], "host string, pages long, allowed long, blocked long")
+    assert sorted(map(tuple, urls.seeds_of(counts).collect())) == [("distrust", "a.b", 0.5), ("trust", "a.b", 0.25)]
+
+
 def test_ranks_match_power_iteration(spark):
     chance = random.Random(4)
     edges = sorted({(chance.randrange(12), chance.randrange(12)) for _ in range(40)})
