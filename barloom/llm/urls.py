@@ -15,7 +15,9 @@ for some paths of a host doesn't block its other paths.
 
 Links are reduced to weighted host pairs before the first round. Both walks run as
 one table keyed by (walk, host); every few rounds it is written to the shared
-folder, and the walk ends early when the ranks rest. Rank that reaches a host
+folder, and the walk ends early when the ranks rest: when no rank moved by ``REST`` of
+what each host of its walk would have if all had the same. A walk that still moves
+after ``ROUNDS`` is logged. Rank that reaches a host
 without links leaves the walk.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits
@@ -27,15 +29,19 @@ return as often as they come; other columns are ignored.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, stage
 
+log = logging.getLogger(__name__)
+
 DAMPING = 0.85
 ROUNDS = 20
 EVERY = 5
-REST = 1e-6
+REST = 1e-4
 LEAST = 0.1
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"'\s>]+)"""
 
@@ -127,12 +133,16 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
                 ranks.unionByName(before.select("walk", "host", (-F.col("rank")).alias("rank")))
                 .groupBy("walk", "host")
                 .agg(F.abs(F.sum("rank")).alias("moved"))
+                .groupBy("walk")
+                .agg((F.max("moved") * F.count("*")).alias("moved"))
                 .agg(F.max("moved"))
                 .first()[0]
             )
             before = ranks
             if moved is None or moved < REST:
                 break
+            if number == rounds:
+                log.warning("the walks end after %d rounds, ranks still move by %.2g of an even rank", rounds, moved)
     return ranks
 
 

@@ -248,6 +248,21 @@ def test_ranks_match_power_iteration(spark):
             assert got.get((walk, f"h{k}"), 0.0) == pytest.approx(rank[k], abs=1e-5)
 
 
+def test_small_ranks_do_not_end_the_walk(spark, caplog):
+    """Chains behind so many seeds that every rank is below one millionth."""
+    many = 1_000_000
+    seeds = spark.range(many).select(
+        F.lit("distrust").alias("walk"), F.concat(F.lit("s"), "id").alias("host"), F.lit(1.0).alias("weight")
+    )
+    chain = [("h1", "s0", 1)] + [(f"h{k + 1}", f"h{k}", 1) for k in range(1, 8)]
+    links = spark.createDataFrame(chain, "src string, dst string, n long")
+    got = {r.host: r["rank"] for r in urls.propagate(seeds, links).where("host like 'h%'").collect()}
+    for k in range(1, 9):
+        assert got[f"h{k}"] * many == pytest.approx(0.15 * 0.85**k, rel=1e-3)
+    urls.propagate(seeds.limit(1), links, rounds=2)
+    assert "still move" in caplog.text
+
+
 # 4, 7 and 9
 
 
