@@ -9,7 +9,11 @@ words there decide. Rows grow with the occurrences of rare terms, and a frequent
 passage gives each document its own rows, so no task gets one passage's rows.
 
 ``near`` reads the same index for proximity: items of which a window's rare terms
-stand within ``SLOP`` words of each other, in any order.
+stand within ``SLOP`` words of each other, in any order. The terms are the ``LISTS``
+rarest different ones that documents have, so that a word that was swapped for another
+does not hide its window; a window with one such term only has no proximity match.
+Windows with the same terms are looked up once. ``find_near`` returns these items of
+every document.
 
 The benchmark's terms are broadcast only if Spark finds the written table smaller
 than its broadcast threshold, and joined by shuffle otherwise.
@@ -97,21 +101,62 @@ def phrase_places(index: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
+def near_lists(windows: DataFrame, counts: DataFrame, lists: int = LISTS) -> DataFrame:
+    """(phrase, term): the rarest different terms of each window that documents have."""
+    spread = windows.select("phrase", F.explode(F.array_distinct(F.split("phrase", " "))).alias("term"))
+    return (
+        spread.join(counts, "term")
+        .groupBy("phrase")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "term"))).alias("all"))
+        .select("phrase", F.explode(F.slice("all", 1, lists)).alias("one"))
+        .select("phrase", "one.term")
+    )
+
+
 def near(index: DataFrame, lists: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame:
     """(doc_id, sig, item): items of which a window's rare terms stand close together."""
-    order = Window.partitionBy(*KEY, "phrase").orderBy("pos", "place")
-    before = F.lag(F.struct("pos", "place")).over(order)
+    sets = (
+        lists.groupBy("phrase")
+        .agg(F.array_sort(F.collect_set("term")).alias("terms"))
+        .where(F.size("terms") > 1)
+        .join(windows, "phrase")
+        .groupBy("terms")
+        .agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        .withColumn("together", F.array_join("terms", " "))
+    )
+    wanted = sets.select("together", F.size("terms").alias("size"), F.posexplode("terms").alias("place", "term"))
+    reach = Window.partitionBy(*KEY, "together").orderBy("pos").rangeBetween(-slop, 0)
     close = (
-        index.join(lists.where("lists > 1"), "term")
-        .withColumn("before", before)
-        .where(
-            (F.col("before.place") != F.col("place"))
-            & (F.col("pos") - F.col("before.pos") <= slop)
-        )
-        .select(*KEY, "phrase")
+        index.join(wanted, "term")
+        .withColumn("found", F.size(F.collect_set("place").over(reach)))
+        .where("found = size")
+        .select(*KEY, "together")
         .distinct()
     )
-    return close.join(windows, "phrase").select(*KEY, F.explode("items").alias("item")).distinct()
+    return close.join(sets, "together").select(*KEY, F.explode("items").alias("item")).distinct()
+
+
+def find_near(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, lists: int = LISTS, slop: int = SLOP
+) -> DataFrame:
+    """doc_id, n_near_items, near_items and near_items_sha256 of every row."""
+    windows = stage(item_windows(items, window), "windows")
+    terms = windows.select(F.explode(F.split("phrase", " ")).alias("term")).distinct()
+    counts = stage(term_counts(docs, stage(terms, "terms")), "counts")
+    rare = stage(near_lists(windows, counts, lists), "rare")
+    index = postings(docs, stage(rare.select("term").distinct(), "terms"))
+    found = near(index, rare, windows, slop).groupBy(*KEY).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("sig"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.sig") == F.col("p.sig"))
+    joined = rows.alias("d").join(stage(found, "near").alias("p"), same, "left")
+    return joined.select(
+        "d.doc_id", F.coalesce("items", F.array().cast("array<string>")).alias("near_items")
+    ).select(
+        "doc_id",
+        F.size("near_items").cast("long").alias("n_near_items"),
+        "near_items",
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_items_sha256"),
+    )
 
 
 def judged_rows(

@@ -59,6 +59,11 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_near(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("near_items")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_pages(spark, table(spark, sf_dir, "pages"))
     return captures.select(
@@ -71,7 +76,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash, op2_language, op3_urls, op4_rules, op5_licences, op6_quality, op7_substrings,
-        op8_packing, op9_leaks, op10_warc,
+        op8_packing, op9_leaks, op9_near, op10_warc,
     )
 }
 

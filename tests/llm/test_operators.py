@@ -6,7 +6,9 @@ import base64
 import hashlib
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +21,7 @@ from tokenizers import Tokenizer
 from barloom.llm import (
     language, leaks, licences, packing, quality, rules, simhash, substrings, urls, warc,
 )
+from barloom.llm.common import UPPER
 from barloom.llm.queries import ORACLES, QUERIES, URL_RULES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -355,6 +358,44 @@ def test_proximity(spark):
     assert [r.doc_id for r in leaks.near(index, lists, windows).collect()] == [0]
 
 
+def near_by_hand(texts, items):
+    def split(text):
+        return [w for w in re.split(r"[^0-9A-Za-z\x80-\U0010ffff]+", text or "") if w]
+
+    def words(text):
+        return [w.translate(str.maketrans(UPPER, UPPER.lower())) for w in split(text)]
+
+    count = Counter(w for t in texts for w in words(t))
+    found = {k: set() for k in range(len(texts))}
+    for item, text in items:
+        own = words(text)
+        for at in range(max(1, len(own) - leaks.WINDOW + 1) if item is not None and own else 0):
+            known = {w for w in own[at : at + leaks.WINDOW] if count[w]}
+            rare = sorted(known, key=lambda w: (count[w], w))[: leaks.LISTS]
+            for k, t in enumerate(texts):
+                places = [[p for p, w in enumerate(words(t)) if w == r] for r in rare]
+                if len(rare) > 1 and any(abs(a - b) <= leaks.SLOP for a in places[0] for b in places[1]):
+                    found[k].add(item)
+    return found
+
+
+def test_near_items_match_brute_force(spark, odd_texts):
+    passage = [f"q{k}" for k in range(10)]
+    swapped = " ".join(passage[:4] + ["other"] + passage[5:])
+    texts = [*odd_texts, swapped, " ".join([*passage[:4], "put", "in", *passage[5:8]]), "same once", "q1 " + "x " * 30 + "q2"]
+    items = [*ITEMS, ("swapped", " ".join(passage))]
+    frame = docs_of(spark, texts)
+    rows = leaks.find_near(
+        frame.unionByName(frame.where("doc_id = 5")), spark.createDataFrame(items, "item_id string, text string")
+    ).collect()
+    expected = near_by_hand(texts, items)
+    assert len(rows) == len(texts) + 1 and expected[len(odd_texts)] == {"swapped"}
+    for r in rows:
+        assert (r.near_items, r.n_near_items) == (sorted(expected[r.doc_id]), len(expected[r.doc_id]))
+    assert not leaks.find_leaks(frame, spark.createDataFrame(items[-1:], "item_id string, text string")).where("contaminated").count()
+    assert "op9_near" in QUERIES
+
+
 # 5
 
 
