@@ -7,9 +7,12 @@ neighbouring windows share one seed occurrence.
 
 1. ``parse_block`` reads a batch of documents, indexes it and parses the batch
    against itself: of equal windows, only those of the smallest document go on; the
-   others are hits already. What goes on is dealt to reference blocks by seed. A
-   block gets at most one row of a window from each batch, however often a passage
-   repeats.
+   others are hits already. What goes on is dealt to reference blocks by seed, and
+   windows of a heavy seed by seed and check bits, so that a gram in ever changing
+   surroundings does not fill one block. Heavy seeds are found in every ``PART``-th
+   document, as those that ``HEAVY`` windows or more would have; which ones are found
+   does not change results, as equal windows have equal seeds and checks. A block gets
+   at most one row of a window from each batch, however often a passage repeats.
 2. ``resolve_block`` merges one reference block of all batches and returns, as
    factors, the maximal runs of windows that start in a smaller document.
 3. Each document is parsed greedily along its factors: a factor reaches as far as
@@ -44,6 +47,8 @@ WINDOW = 13
 GRAM = 5
 BATCH_WORDS = 1 << 19
 BLOCK_BYTES = 6 << 20
+HEAVY = 1 << 18
+PART = 64
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 FACTORS = "doc_id long, sig long, start int, stop int"
 LOW48 = np.uint64((1 << 48) - 1)
@@ -117,11 +122,38 @@ def repeated(ids: np.ndarray, seeds: np.ndarray, checks: np.ndarray) -> np.ndarr
     return hit
 
 
+def among(seeds: np.ndarray, heavy: np.ndarray | None) -> np.ndarray:
+    if heavy is None or not len(heavy):
+        return np.zeros(len(seeds), dtype=bool)
+    return heavy[np.minimum(np.searchsorted(heavy, seeds), len(heavy) - 1)] == seeds
+
+
+def heavy_seeds(source: DataFrame, window: int, gram: int) -> np.ndarray:
+    """Seeds that ``HEAVY`` windows or more have by a count of every ``PART``-th document."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            lists = [text.split() for text in batch.column(0).to_pylist()]
+            words = np.array([hashes[word] for one in lists for word in one], dtype=np.uint64)
+            row = np.repeat(np.arange(len(lists)), [len(one) for one in lists])
+            seeds, n = np.unique(seeded_windows(mixed(words), row, window, gram)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), pa.array(n)], names=["seed", "n"])
+
+    some = source.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PART)) == 0).select("text")
+    counts = some.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") * PART >= HEAVY).select("seed").toArrow().column(0).to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
+
+
 def parse_block(
     ids: list[int], sigs: list[int], texts: list[bytes], blocks: int, window: int, gram: int,
-    hashes: WordHashes,
+    hashes: WordHashes, heavy: np.ndarray | None = None,
 ) -> Iterator[tuple[int, bytes]]:
-    """Parse a batch against itself; the rest and the found factors, by reference block."""
+    """Parse a batch against itself; the rest and the found factors, by reference block.
+
+    ``heavy`` has the heavy seeds, sorted.
+    """
     lists = [text.split() for text in texts]
     sizes = np.array([len(words) for words in lists], dtype=np.int64)
     words = np.fromiter(
@@ -133,15 +165,18 @@ def parse_block(
     doc, sig = np.array(ids, dtype=np.int64), np.array(sigs, dtype=np.int64)
     at = row[starts]
     hit = repeated(doc[at], seeds, checks)
-    block = (seeds >> np.uint64(20)) % np.uint64(blocks)
+    spread = among(seeds, heavy)
+    dealt = np.where(spread, mixed(seeds ^ (checks * np.uint64(ODD[1]))), seeds)
+    block = (dealt >> np.uint64(20)) % np.uint64(blocks)
     own = runs(at[hit], (starts - begin[at])[hit])
     target = own[0] % blocks
     rest = ~hit
-    starts, places, seeds, checks, at, block = (
-        x[rest] for x in (starts, places, seeds, checks, at, block)
+    starts, places, seeds, checks, at, block, spread = (
+        x[rest] for x in (starts, places, seeds, checks, at, block, spread)
     )
     head = np.ones(len(starts), dtype=bool)  # windows that share one seed occurrence
     head[1:] = (places[1:] != places[:-1]) | (starts[1:] != starts[:-1] + 1) | (at[1:] != at[:-1])
+    head |= spread  # each goes to a block of its own
     first = np.flatnonzero(head)
     length = np.diff(np.append(first, len(starts)))
     order = np.argsort(block[first], kind="stable")
@@ -227,7 +262,7 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
         load = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = parse_block(*held, blocks, window, gram, hashes)
+            rows = parse_block(*held, blocks, window, gram, hashes, shared.value)
             while some := list(islice(rows, 256)):
                 number, data = zip(*some)
                 yield pa.RecordBatch.from_arrays(
@@ -253,6 +288,7 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     )
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("doc_id must be an integer")
+    shared = docs.sparkSession.sparkContext.broadcast(heavy_seeds(source, window, gram))
     parsed = source.mapInArrow(parse, "block long, data binary")
     return parsed.groupBy("block").applyInPandas(resolve_block, FACTORS)
 

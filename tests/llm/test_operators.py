@@ -321,6 +321,34 @@ def test_substrings_across_batches_and_blocks(spark, odd, duck, monkeypatch):
     same_as_sql(substrings.without_repeats(frame).drop("kept"), duck, "op7_substrings")
 
 
+def test_a_heavy_seed_is_dealt_to_many_blocks(spark, duck, monkeypatch):
+    """One gram in changing surroundings: its windows leave its block, and rows stay the same."""
+    chance = random.Random(6)
+
+    def seed(gram):
+        words = np.array([substrings.WordHashes()[w.encode()] for w in gram.split()], dtype=np.uint64)
+        return substrings.rolling(substrings.mixed(words), substrings.GRAM, substrings.ODD[0])[0]
+
+    gram = min((f"g{k} g1 g2 g3 g4" for k in range(3000)), key=seed)  # of least hash, so it is a seed
+    around = [[" ".join(f"v{chance.randrange(10**6)}" for _ in range(12)) for _ in range(2)] for _ in range(200)]
+    texts = [f"{a} {gram} {b}" for a, b in around] + [f"{a} {gram} {b}" for a, b in around[:40]]
+    frame = docs_of(spark, texts).repartition(5)
+    monkeypatch.setattr(substrings, "PART", 1)
+    monkeypatch.setattr(substrings, "HEAVY", 100)
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 500)
+    source = frame.select("doc_id", F.col("text").cast("binary").alias("text"))
+    heavy = substrings.heavy_seeds(source, substrings.WINDOW, substrings.GRAM)
+    rows = [list(range(240)), [0] * 240, [t.encode() for t in texts], 64, substrings.WINDOW, substrings.GRAM]
+
+    def largest(*more):
+        parts = [substrings.parted(d) for _, d in substrings.parse_block(*rows, substrings.WordHashes(), *more)]
+        return max(int(p[4].sum()) for p in parts)
+
+    assert heavy.tolist() == [seed(gram)] and largest(heavy) < largest() / 4
+    view(duck, frame, "documents")
+    same_as_sql(substrings.without_repeats(frame).drop("kept"), duck, "op7_substrings")
+
+
 def test_texts_without_repeats_stay_as_they_are(spark):
     texts = ["a  b\tc", " ".join(f"x{k}" for k in range(20)), " ".join(f"x{k}" for k in range(14)) + "  end"]
     rows = substrings.drop_repeats(docs_of(spark, texts)).orderBy("doc_id").collect()
