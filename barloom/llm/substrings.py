@@ -1,4 +1,9 @@
-"""Exact substring removal by relative Lempel-Ziv parsing against reference blocks.
+"""Exact substring removal by a hash join of word windows in reference blocks.
+
+It takes the place of relative Lempel-Ziv parsing: which words a smaller document has
+in a run of ``WINDOW`` or more follows from the repeated windows alone. A "factor" here
+is a run of repeated windows, which may come from different documents; it has no
+reference position and is not a greedy longest match.
 
 The reference of a document is every document with a smaller id. It is indexed in
 blocks by seed: the seed of a 13-word window is its least hashed 5-word gram (a
@@ -15,9 +20,7 @@ neighbouring windows share one seed occurrence.
    at most one row of a window from each batch, however often a passage repeats.
 2. ``resolve_block`` merges one reference block of all batches and returns, as
    factors, the maximal runs of windows that start in a smaller document.
-3. Each document is parsed greedily along its factors: a factor reaches as far as
-   hits follow each other, windows over the border of two factors are looked up
-   like all others, and the words that factors cover are left out.
+3. The words that a document's factors cover are left out.
 
 A window is known by the 64-bit hash of its seed with 48 more bits of all its
 words; only windows with an equal seed are compared by the latter.
