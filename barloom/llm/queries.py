@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, leaks, licences, packing, quality, rules, simhash, substrings, urls, warc
+from . import (
+    bpe, language, leaks, licences, packing, quality, resampling, rules, simhash, substrings, turns,
+    urls, warc,
+)
 from .common import held_out, table
 
 URL_RULES = [
@@ -72,11 +75,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
+
+
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash, op2_language, op3_urls, op4_rules, op5_licences, op6_quality, op7_substrings,
-        op8_packing, op9_leaks, op9_near, op10_warc,
+        op8_packing, op9_leaks, op9_near, op10_warc, op11_bpe, op12_turns, op13_resampling,
     )
 }
 
@@ -198,4 +213,98 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from word left join place using (row_id) left join found using (row_id)
 """
 
-ORACLES = {"op4_rules": OP4_SQL, "op7_substrings": OP7_SQL, "op9_leaks": OP9_SQL}
+#: CRC-32 of a list of bytes, from the table of its 256 steps.
+CRC_STEPS = """
+crc_step as (
+  select list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda r, x: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end)) as step
+)"""
+CRC = """xor(4294967295, list_reduce(list_concat([4294967295], {bytes}),
+    lambda c, b: xor(step[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+OP12_SQL = f"""
+with {CRC_STEPS}, own as (
+  select conv_id, turn, coalesce(text, '') as text,
+    md5(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as id
+  from conversations where conv_id is not null
+), numbered as (
+  select conv_id, id, strlen(text) as size, row_number() over (partition by conv_id order by turn nulls first, id) as k
+  from own
+), conv as (
+  select conv_id, conv_id - conv_id % 5 as base,
+    {CRC.format(bytes="list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)")} % 9 as h
+  from (select distinct conv_id from own), crc_step
+), turns as (
+  select c.conv_id, 0 as part, k, id, size from conv c join numbered n on n.conv_id = c.base and k <= h
+  union all
+  select c.conv_id, 1, k, id, size from conv c join numbered n on n.conv_id = c.conv_id and k > h
+), rebuilt as (
+  select conv_id, coalesce(list(id order by part, k) filter (where id is not null), []) as ids,
+    coalesce(list(size order by part, k) filter (where id is not null), []) as sizes
+  from conv left join turns using (conv_id) group by conv_id
+), prefix as (
+  select conv_id, len(ids) as n, d as depth, ids[1:d] as p, coalesce(sizes[d], 0) as size
+  from (select *, unnest(range(0, len(ids) + 1)) as d from rebuilt)
+), node as (
+  select p, depth, min(conv_id) as conv_id, count(*) as n_convs, max(size) as size,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = depth) as ends
+  from prefix group by p, depth
+), child as (
+  select p[1:depth - 1] as p, depth - 1 as depth, count(*) as n_children from node where depth > 0 group by all
+), valued as (
+  select node.*, coalesce(n_children, 0) as n_children from node left join child using (p, depth)
+), below as (
+  select p[1:k] as p, k as depth, sum((n_children = 0)::int) as n_leaves, sum((n_convs - 1) * size) as saved
+  from (select *, unnest(range(0, depth + 1)) as k from valued) group by all
+)
+select v.conv_id, v.depth::bigint as depth, parent.conv_id as parent_conv_id, v.n_convs, v.n_children,
+  n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(v.ends, '')) as ends_sha256
+from valued v join below using (p, depth)
+left join node parent on parent.depth = v.depth - 1 and parent.p = v.p[1:v.depth - 1]
+"""
+
+OP13_SQL = rf"""
+with {CRC_STEPS}, word as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), aim as (
+  select unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as x from benchmark
+), feature as (
+  select row_id, x, count(*) as n from (select row_id, unnest(w) as x from word) group by all
+), coded as (
+  select x, {CRC.format(bytes="list_transform(range(1, strlen(x) * 2, 2), lambda i: ('0x' || substr(hex(x), i, 2))::bigint)")} % 10000 as bucket
+  from (select x from feature union select x from aim), crc_step
+), source as (
+  select bucket, sum(n)::double as s from feature join coded using (x) group by bucket
+), target as (
+  select bucket, count(*)::double as t from aim join coded using (x) group by bucket
+), total as (
+  select coalesce((select sum(s) from source), 0) as all_s, coalesce((select sum(t) from target), 0) as all_t
+), gain as (
+  select bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::bigint as gain
+  from source left join target using (bucket), total
+), weighed as (
+  select row_id, sum(n * gain)::bigint as weight from feature join coded using (x) join gain using (bucket) group by row_id
+), scored as (
+  select doc_id, len(w)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from word left join weighed using (row_id)
+), placed as (
+  select *, n_features >= 20 as able,
+    row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last) as place from scored
+)
+select doc_id, n_features, weight, score,
+  case when able and place <= (select count(*) * 10 // 100 from scored where n_features >= 20) then place end as rank
+from placed
+"""
+
+ORACLES = {
+    "op4_rules": OP4_SQL,
+    "op7_substrings": OP7_SQL,
+    "op9_leaks": OP9_SQL,
+    "op12_turns": OP12_SQL,
+    "op13_resampling": OP13_SQL,
+}

@@ -1,0 +1,130 @@
+"""Importance resampling against plain counting."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import os
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from barloom.llm import resampling
+from barloom.llm.queries import ORACLES, QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+DOCS = "doc_id long, text string, found string, score int, rank int, _task int, place int, n_words int"
+
+
+def words(text):
+    return WORD.findall((text or "").encode().translate(LOWER))
+
+
+def features(text, longest=1):
+    w = words(text)
+    return [crc32(b" ".join(w[k : k + n])) for n in range(1, longest + 1) for k in range(len(w) - n + 1)]
+
+
+def resampled_by_hand(rows, target, share=10, least=20, buckets=10_000, longest=1):
+    s, t = Counter(), Counter()
+    for _, text in rows:
+        s.update(x % buckets for x in features(text, longest))
+    for text in target:
+        t.update(x % buckets for x in features(text, longest))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets))))
+        for b in range(buckets)
+    ]
+    found = []
+    for doc_id, text in rows:
+        own = features(text, longest)
+        weight = sum(gain[x % buckets] for x in own)
+        name = "2024:" + ("" if doc_id is None else str(doc_id))
+        h = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        found.append([doc_id, len(own), weight, score, None, len(words(text)) >= least])
+    able = sorted((x for x in found if x[5]), key=lambda x: (-x[3], x[0] is None, x[0]))
+    for place, row in enumerate(able[: len(able) * share // 100], 1):
+        row[4] = place
+    return sorted((tuple(x[:5]) for x in found), key=repr)
+
+
+def rows_of(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+@given(st.text("aB é1-\n\x7f{~Z中", max_size=60), st.integers(1, 5), st.integers(1, 12))
+@settings(max_examples=300, deadline=None)
+def test_payloads_make_the_runs(text, longest, most):
+    scanner = resampling.Scanner(longest)
+    whole = resampling.folded(text)
+    parts = list(resampling.pieces(whole, most))
+    scanner.learn(parts)
+    number = np.concatenate([scanner.words(part) for part in parts])
+    assert number.tolist() == scanner.words(whole).tolist()
+    assert scanner.runs(scanner.crc[number], scanner.length[number]).tolist() == features(text, longest)
+
+
+def test_the_automaton_begins_anew():
+    scanner = resampling.Scanner(1, known=3)
+    for text in ("a b", "b c", "c d e f g", "a g"):
+        whole = resampling.folded(text)
+        scanner.learn([whole])
+        assert scanner.crc[scanner.words(whole)].tolist() == features(text)
+        assert len(scanner.numbers) <= 5
+
+
+def odd_rows():
+    chance = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(200)] + ["Élan", "ÉLAN", "中文", "X9"]
+    rows = [(k, " ".join(chance.choices(vocabulary, k=chance.randint(1, 60)))) for k in range(300)]
+    rows += [(1000, None), (1001, ""), (1002, " .-\n"), (1003, "w1 " * 50_000), (1004, "x" * 200_000)]
+    rows += [(None, rows[3][1] + " w1" * 25), (None, rows[4][1])] + rows[:40]  # repeated rows tie
+    return rows
+
+
+@pytest.mark.parametrize("block, longest", [(resampling.BLOCK, 1), (300, 2)])
+def test_odd_rows(spark, monkeypatch, block, longest):
+    rows = odd_rows()
+    target = ["w1 w2 w3 Élan", None, "w1 w1 w7"]
+    frame = spark.createDataFrame([(*row, "x", 1, 1, 1, 1, 1) for row in rows], DOCS)
+    aim = spark.createDataFrame([(text, 1) for text in target], "text string, doc_id int")
+    monkeypatch.setattr(resampling.bucketed, "__defaults__", (resampling.BUCKETS, 1, block, 50))
+    found = resampling.resample(frame, aim, share=40, longest=longest)
+    assert rows_of(found) == resampled_by_hand(rows, target, share=40, longest=longest)
+
+
+def test_empty_tables(spark):
+    rows = [(k, f"a b c {k} " * 8) for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    nothing = spark.createDataFrame([], "text string")
+    assert rows_of(resampling.resample(frame, nothing)) == resampled_by_hand(rows, [])
+    assert resampling.resample(frame.limit(0), nothing).count() == 0
+
+
+def test_buckets_have_two_bytes(spark):
+    with pytest.raises(ValueError):
+        resampling.bucketed(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 1 << 17)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables")
+def test_query_matches_brute_force_and_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"create view {name} as from '{SF_DIR}/{name}.parquet'")
+    rows = connection.sql("select doc_id, text from documents").fetchall()
+    target = [text for (text,) in connection.sql("select text from benchmark").fetchall()]
+    expected = resampled_by_hand(rows, target)
+    assert rows_of(QUERIES["op13_resampling"](spark, SF_DIR)) == expected
+    names = "doc_id, n_features, weight, score, rank"
+    assert sorted(connection.sql(f"select {names} from ({ORACLES['op13_resampling']})").fetchall(), key=repr) == expected
