@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barloom.functions.times import micros
+from barloom.functions.times import DEFAULT_STEP_SECONDS, micros, step_seconds_of
 from barloom.schemas import series_key
 from barloom.sources.layers import stage
 
@@ -23,19 +23,6 @@ SLICE = "_slice"
 COPIED = "_copied"
 
 SLICE_ROWS = 1 << 20
-DEFAULT_STEP_SECONDS = 60.0
-TICK_STEP_SECONDS = 0.1
-_UNIT_SECONDS = {"S": 1, "M": 60, "H": 3600, "D": 86400, "W": 604800, "MN": 2592000}
-
-
-def _step_seconds(timeframe: Column) -> Column:
-    """Bar length of a label such as ``M5``, ``H1``, ``D1`` or ``MN1``; ticks count as ten a second."""
-    label = r"^(MN|[SMHDW])(\d{1,4})$"
-    count = F.nullif(F.regexp_extract(timeframe, label, 2), F.lit("")).cast("int")
-    unit = F.when(timeframe == "ticks", TICK_STEP_SECONDS).otherwise(DEFAULT_STEP_SECONDS)
-    for name, seconds in _UNIT_SECONDS.items():
-        unit = F.when(F.regexp_extract(timeframe, label, 1) == name, seconds).otherwise(unit)
-    return unit * F.greatest(F.coalesce(count, F.lit(1)), F.lit(1))
 
 
 def time_slices(
@@ -48,7 +35,7 @@ def time_slices(
     is for rows that keep to no timeframe.
     """
     if step_seconds is None and "timeframe" in df.columns:
-        step = _step_seconds(F.col("timeframe"))
+        step = step_seconds_of(F.col("timeframe"))
     else:
         step = F.lit(DEFAULT_STEP_SECONDS if step_seconds is None else step_seconds)
     width = F.greatest((step * F.lit(rows * 1e6)).cast("bigint"), F.lit(1).cast("bigint"))

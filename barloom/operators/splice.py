@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import constants as C
+from barloom.operators.asof import asof_join
 from barloom.operators.series import COPIED, SLICE, over_series, time_slices, with_lookback
 from barloom.schemas import CONTRACT, PRICES, series_key
 from barloom.sources.layers import stage
@@ -137,6 +138,26 @@ def splice_broadcast(
     return _shifted(joined, F.coalesce("_offset", F.lit(0.0))).select(*kept)
 
 
+def gap_ledger(
+    df: DataFrame, gap_basis: str = "close", roots: Sequence[str] | None = C.SPLICED_ROOTS
+) -> DataFrame:
+    """Per series and rollover the sum of its gap and all later ones: a row for each rollover.
+
+    Bars keep the prices of their own contract; a further rollover changes this table only.
+    """
+    marks = rollovers(df, gap_basis, roots)
+    keys = series_key(marks)
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc("time"))
+    return marks.select(*keys, "time", F.sum("gap").over(newest_first).alias("later_gaps"))
+
+
+def splice_asof(df: DataFrame, ledger: DataFrame, **how) -> DataFrame:
+    """Bars shifted by the ledger: each by the entry of the first rollover after it, if any."""
+    joined = asof_join(df, ledger, ["later_gaps"], direction="forward", equal=False, **how)
+    kept = [name for name in df.columns if name != CONTRACT]
+    return _shifted(joined, F.coalesce("later_gaps", F.lit(0.0))).select(*kept)
+
+
 def perpetual_roll(
     front: DataFrame, following: DataFrame, on: Sequence[str] = ("root", "time"), how: str = "inner"
 ) -> DataFrame:

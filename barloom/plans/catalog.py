@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,13 +21,15 @@ from barloom.operators.fracdiff import (
 )
 from barloom.operators.series import balanced_slices, time_slices
 from barloom.plans import derived
+from barloom.plans.incremental import update_layers
 from barloom.plans.medallion import run_layers
 from barloom.plans.silver import build_silver, clean_bars, prepare_bars
-from barloom.schemas import FEATURES
+from barloom.schemas import FEATURES, KEY
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars
 from barloom.sources.layers import (
     append_alerts,
+    period_of,
     read_alerts,
     read_layer,
     replace_series,
@@ -38,6 +41,8 @@ from barloom.streaming.ticks import guard_ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANGE_EDGE = datetime(2024, 1, 20)
+RANGE_SHOWN = datetime(2024, 1, 15, 12)
 ORDER_GRID = tuple(i / 10 for i in range(11))
 
 
@@ -199,12 +204,65 @@ def layer_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
         refused.groupBy("symbol").agg(
             F.count_if(reason == "unparsed_time").alias("unparsed_time"),
             F.count_if(reason == "price_rule").alias("price_rule"),
+            F.count_if(reason == "not_finite").alias("not_finite"),
+            F.count_if(reason == "missing_price").alias("missing_price"),
         ),
         read_layer(spark, base, "silver").groupBy("symbol").agg(F.count("*").alias("silver")),
     ]
     joined = reduce(lambda a, b: a.join(b, "symbol", "left"), counts)
     superseded = (F.col("bronze") - F.col("prepared")).alias("superseded")
-    return joined.select("symbol", "bronze", superseded, "unparsed_time", "price_rule", "silver")
+    parts = ["unparsed_time", "price_rule", "not_finite", "missing_price", "silver"]
+    balanced = F.col("prepared") == reduce(lambda a, b: a + b, map(F.col, parts))
+    return joined.select("symbol", "bronze", superseded, *parts, balanced.alias("balanced"))
+
+
+def layers_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of raw bars, each brought into the layers by itself; silver at the end.
+
+    The second batch brings the last contract, which shifts all older prices, and the bars
+    that were sent again. The label cuts a series into ranges of a week.
+    """
+    base = work_folder(spark, "incremental")
+    raw = stage(derived.raw_bars(spark, sf_dir).withColumn("timeframe", F.lit("S5")), "raw-bars")
+    late = (F.col("original_contract") == "WINH24") | (F.col("ingest_seq") >= derived.SENT_AGAIN)
+    for batch, rows in enumerate((raw.where(~late), raw.where(late)), 1):
+        append_bars(spark, base, rows, batch_id=batch)
+        update_layers(spark, base)
+    silver = read_layer(spark, base, "silver").drop("data_type", "timeframe", "spread", "real_volume")
+    return rounded(silver, *derived.PRICE_COLUMNS, "frac_diff_close")
+
+
+def layer_range_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last ten days of every series replaced, range by range; the days before stay."""
+    base = work_folder(spark, "ranges")
+    keyed = {"data_type": F.lit("futures"), "timeframe": F.lit("S5")}
+    frame = stage(conform.conform(derived.bars(spark, sf_dir)).withColumns(keyed), "bars")
+    replace_series(frame, base, "silver")
+    edge = period_of(F.lit(RANGE_EDGE).cast("timestamp_ntz"), F.lit("S5"))
+    newer = frame.where(period_of(F.col("time"), F.col("timeframe")) >= edge)
+    raised = newer.withColumn("close", F.col("close") + 1).where(F.hour("time") % 2 == 0)
+    series = frame.select(*KEY).distinct().withColumn("since", edge)
+    replace_series(raised, base, "silver", series)
+    return read_layer(spark, base, "silver", since=RANGE_SHOWN).select("symbol", "time", "close")
+
+
+def splice_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = stage(derived.contracts(derived.bars(spark, sf_dir)), "contract-bars")
+    found = splice.splice_asof(frame, splice.gap_ledger(frame, roots=None))
+    return rounded(found, *derived.PRICE_COLUMNS)
+
+
+def splice_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of 64 hours, shorter than a contract's life."""
+    frame = stage(derived.contracts(derived.bars(spark, sf_dir)), "contract-bars")
+    sliced = time_slices(frame, step_seconds=3600, rows=64)
+    return rounded(splice.splice_series(sliced, roots=None).drop("_slice"), *derived.PRICE_COLUMNS)
+
+
+def gold_features_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of 8 hours, shorter than the ten rows looked back."""
+    sliced = time_slices(derived.bars(spark, sf_dir), step_seconds=3600, rows=8)
+    return rounded(features.technical_features(sliced).drop("_slice"), *FEATURES)
 
 
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +432,11 @@ QUERIES: dict[str, Query] = {
     "frac_diff_least_order": frac_diff_least_order,
     "silver_prepare": silver_prepare,
     "silver_clean": silver_clean,
+    "layers_incremental": layers_incremental,
+    "layer_range_replace": layer_range_replace,
+    "splice_asof": splice_asof,
+    "splice_sliced": splice_sliced,
+    "gold_features_sliced": gold_features_sliced,
     "series_verdicts": series_verdicts,
     "layer_row_balance": layer_row_balance,
     "bronze_append": bronze_append,

@@ -14,6 +14,8 @@ from barloom.operators.bars import ohlc_bars
 from barloom.operators.dedup import keep_last
 from barloom.schemas import CONTRACT
 
+#: Least arrival number of a bar that was sent again.
+SENT_AGAIN = 1_000_000_000
 PRICE_COLUMNS = ("open", "high", "low", "close")
 
 
@@ -91,7 +93,7 @@ def duplicates(frame: DataFrame) -> DataFrame:
     arrival = F.floor(F.unix_seconds(F.col("time").cast("timestamp")) / 3600)
     first = frame.withColumn("ingest_seq", arrival)
     again = frame.where(F.hour("time") % 2 == 0).withColumns(
-        {"close": F.col("close") + 1, "ingest_seq": F.lit(1_000_000_000) + arrival}
+        {"close": F.col("close") + 1, "ingest_seq": F.lit(SENT_AGAIN) + arrival}
     )
     return first.unionByName(again)
 

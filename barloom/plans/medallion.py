@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from barloom import constants as C
 from barloom.plans.gold import build_gold, check_gold
-from barloom.plans.silver import build_silver, series_present
+from barloom.plans.silver import build_silver
 from barloom.schemas import KEY
 from barloom.sources.bronze import append_bars, as_frame
-from barloom.sources.layers import read_layer
+from barloom.sources.layers import listed_series
 
 DEFAULT_TIMEFRAME = "M5"
 
@@ -60,12 +60,9 @@ def run_layers(
 
 
 def layers_report(spark: SparkSession, base: str, strict: bool = True) -> DataFrame:
-    """Which layers hold rows of a series, and the verdict on its gold rows."""
+    """Which layers hold rows of a series, from their files, and the verdict on its gold rows."""
     held = [
-        series_present(read_layer(spark, base, layer)).select(
-            *KEY, (F.col("rows") > 0).alias(layer)
-        )
-        for layer in ("bronze", "silver", "gold")
+        listed_series(spark, base, layer).withColumn(layer, F.lit(True)) for layer in ("bronze", "silver", "gold")
     ]
     checks = check_gold(spark, base, strict=strict).select(*KEY, "is_valid", "validated_rows")
     joined = reduce(lambda a, b: a.join(b, [*KEY], "left"), [*held, checks])

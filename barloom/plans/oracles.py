@@ -284,6 +284,17 @@ prepared AS (
                              ORDER BY ingest_seq DESC) = 1
 )"""
 
+_SILVER = f"""WITH {_RAW},
+good AS (SELECT * FROM prepared WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)),
+{_spliced("close", "good")},
+continuous AS (
+  SELECT * FROM spliced WHERE symbol IN ('WIN$', 'WDO$')
+  UNION ALL BY NAME
+  SELECT symbol, time, open, high, low, close, tick_volume FROM good
+  WHERE symbol NOT IN ('WIN$', 'WDO$')
+),
+{_frac("continuous")}"""
+
 ORACLES: dict[str, str] = {
     "ohlc_bars": f"WITH {_BARS} SELECT * FROM bars",
     "log_return": _one(_LOG_RETURN, "log_return"),
@@ -358,16 +369,19 @@ SELECT symbol, d, n, {_same("t_statistic")} FROM statistics""",
     "frac_diff_least_order": f"""{_STATISTICS}
 SELECT symbol, min(d) FILTER (WHERE t_statistic < -2.86) AS least_d FROM statistics GROUP BY 1""",
     "silver_prepare": f"WITH {_RAW} SELECT * FROM prepared",
-    "silver_clean": f"""WITH {_RAW},
-good AS (SELECT * FROM prepared WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)),
-{_spliced("close", "good")},
-continuous AS (
-  SELECT * FROM spliced WHERE symbol IN ('WIN$', 'WDO$')
-  UNION ALL BY NAME
-  SELECT symbol, time, open, high, low, close, tick_volume FROM good
-  WHERE symbol NOT IN ('WIN$', 'WDO$')
-),
-{_frac("continuous")}
+    "splice_asof": _splice_rows("close"),
+    "splice_sliced": _splice_rows("close"),
+    "gold_features_sliced": _gold_rows(_BARS),
+    "layers_incremental": f"""{_SILVER}
+SELECT symbol, time, {_same("open", "high", "low", "close")}, tick_volume, {_same("frac_diff_close")}
+FROM diffed""",
+    "layer_range_replace": f"""WITH {_BARS},
+ranged AS (SELECT *, epoch_us(time) - epoch_us(time) % 655360000000 AS period FROM bars),
+edge AS (SELECT epoch_us(TIMESTAMP '2024-01-20') - epoch_us(TIMESTAMP '2024-01-20') % 655360000000 AS start)
+SELECT symbol, time, CASE WHEN period >= start THEN close + 1 ELSE close END AS close
+FROM ranged, edge
+WHERE time >= TIMESTAMP '2024-01-15 12:00:00' AND (period < start OR hour(time) % 2 = 0)""",
+    "silver_clean": f"""{_SILVER}
 SELECT symbol, time, {_same("open", "high", "low", "close")}, tick_volume,
        0::BIGINT AS spread, 0::BIGINT AS real_volume, 'H1' AS timeframe, {_same("frac_diff_close")}
 FROM diffed""",
@@ -382,7 +396,9 @@ arrived AS (SELECT symbol, count(*) AS bronze FROM parsed GROUP BY 1)
 SELECT symbol, bronze, bronze - count(*) AS superseded,
        count(*) FILTER (WHERE time IS NULL) AS unparsed_time,
        count(*) FILTER (WHERE time IS NOT NULL AND {_VIOLATES}) AS price_rule,
-       count(*) FILTER (WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)) AS silver
+       0::BIGINT AS not_finite, 0::BIGINT AS missing_price,
+       count(*) FILTER (WHERE time IS NOT NULL AND NOT coalesce({_VIOLATES}, FALSE)) AS silver,
+       TRUE AS balanced
 FROM prepared JOIN arrived USING (symbol) GROUP BY symbol, bronze""",
     "bronze_append": f"""WITH {_BARS}, batches AS (
   SELECT *, 1::BIGINT AS batch_id FROM bars

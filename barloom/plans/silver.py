@@ -22,17 +22,20 @@ from barloom.operators.quality import (
 )
 from barloom.operators.series import balanced_slices
 from barloom.operators.splice import splice_series
-from barloom.schemas import KEY, SILVER, on_key
+from barloom.schemas import KEY, SILVER, TIME_AT, on_key
 from barloom.sources.bronze import as_frame
-from barloom.sources.layers import read_layer, replace_series, stage
+from barloom.sources.layers import by_range, read_layer, replace_series, stage
 
 log = logging.getLogger(__name__)
 
 
 def normalize_time(df: DataFrame) -> DataFrame:
-    """Replace the time column by wall-clock ``time``."""
+    """Replace the time column, and that of stored times, by wall-clock ``time``."""
     source = time_column(df)
-    return df.withColumn("time", normalized_time(df, source)).drop(*({source} - {"time"}))
+    time = normalized_time(df, source)
+    if TIME_AT in df.columns:
+        time = F.coalesce(F.col(TIME_AT), time)
+    return df.withColumn("time", time).drop(*({source, TIME_AT} - {"time"}))
 
 
 def open_daily_bars(df: DataFrame) -> DataFrame:
@@ -129,7 +132,7 @@ def build_silver(
     verdicts = stage(series_verdicts(prepared), "verdicts")
     good, bad = split_bars(prepared)
     seen = verdicts.select(*KEY)
-    replace_series(bad, base, "quarantine", seen)
+    replace_series(by_range(bad), base, "quarantine", seen)
     if strict and verdicts.where("held").take(1):
         held = verdicts.where("held").select(*KEY)
         seen = verdicts.where("not held").select(*KEY)
@@ -140,8 +143,3 @@ def build_silver(
         good = good.join(seen, on_key(good, seen), "left_semi")
     bars = keep_finite(finish_bars(balanced_slices(good), roots))
     return replace_series(fractional_difference(bars, "close", d), base, "silver", seen)
-
-
-def series_present(df: DataFrame) -> DataFrame:
-    """Row counts by series."""
-    return df.groupBy(*KEY).agg(F.count("*").alias("rows"))

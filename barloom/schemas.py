@@ -11,6 +11,10 @@ KEY = ("data_type", "symbol", "timeframe")
 PRICES = ("open", "high", "low", "close")
 VOLUMES = ("tick_volume", "spread", "real_volume")
 CONTRACT = "original_contract"
+#: Start of the time range a file belongs to, in microseconds: a folder below the series' own.
+PERIOD = "period"
+#: Bronze times that did not come as text.
+TIME_AT = "time_at"
 
 _KEY_FIELDS = [T.StructField(name, T.StringType()) for name in KEY]
 _BAR_FIELDS = [
@@ -29,6 +33,19 @@ FEATURES = (
     *[f"{unit}_{wave}" for unit in ("month", "weekday", "hour", "minute") for wave in ("sin", "cos")],
 )
 
+#: Clean bars in the prices of their own contract, and what splicing adds to those before a time.
+CLEAN = T.StructType([*_BAR_FIELDS, T.StructField(CONTRACT, T.StringType()), *_KEY_FIELDS])
+LEDGER = T.StructType(
+    [T.StructField("time", T.TimestampNTZType()), T.StructField("later_gaps", T.DoubleType()), *_KEY_FIELDS]
+)
+TICKS = T.StructType(
+    [
+        *[T.StructField(n, T.LongType()) for n in ("batch_id", "ingest_seq", "time_msc", "arrival_msc")],
+        *_KEY_FIELDS,
+        T.StructField("feed", T.StringType()),
+        T.StructField("epoch", T.LongType()),
+    ]
+)
 SILVER = T.StructType(
     [*_BAR_FIELDS, T.StructField("frac_diff_close", T.DoubleType()), *_KEY_FIELDS]
 )
@@ -60,6 +77,7 @@ ALERTS = T.StructType(
 BRONZE = T.StructType(
     [
         T.StructField("time", T.StringType()),
+        T.StructField(TIME_AT, T.TimestampNTZType()),
         *[T.StructField(name, T.DoubleType()) for name in PRICES],
         *[T.StructField(name, T.LongType()) for name in VOLUMES],
         T.StructField(CONTRACT, T.StringType()),

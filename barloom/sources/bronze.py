@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from typing import Any
 
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from barloom import constants as C
 from barloom.functions.times import normalized_time, time_column
-from barloom.schemas import CONTRACT, PRICES, VOLUMES
+from barloom.schemas import CONTRACT, PRICES, TIME_AT, VOLUMES
 from barloom.sources.layers import DEFAULT_DATA_TYPE, append_rows, store_ticks
 
 log = logging.getLogger(__name__)
@@ -41,8 +42,8 @@ def _is_empty_input(raw: Any) -> bool:
 def _typed(df: DataFrame) -> DataFrame:
     """Prices, volumes and the time in one type, so that appended files agree; the rest as sent.
 
-    What is no number becomes null, and the gate names the row. The time, by whatever
-    name and type it came, is stored as ``time``: text as sent, all else in one layout.
+    What is no number becomes null, and the gate names the row. A time that came as text
+    is stored as sent in ``time``, whatever its column was called; any other in ``time_at``.
     """
     kinds = {
         **dict.fromkeys(PRICES, "double"),
@@ -51,10 +52,11 @@ def _typed(df: DataFrame) -> DataFrame:
     }
     source = time_column(df)
     if source in df.columns:
-        time = F.col(source)
-        if not isinstance(df.schema[source].dataType, T.StringType):
-            time = F.date_format(normalized_time(df, source), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        df = df.withColumn("time", time).drop(*({source} - {"time"}))
+        if isinstance(df.schema[source].dataType, T.StringType):
+            times = {"time": F.col(source)}
+        else:
+            times = {TIME_AT: normalized_time(df, source), "time": F.lit(None).cast("string")}
+        df = df.withColumns(times).drop(*({source} - {"time"}))
     return df.withColumns({n: F.col(n).try_cast(k) for n, k in kinds.items() if n in df.columns})
 
 
@@ -125,8 +127,10 @@ def append_ticks(
             log.critical("stale batch of %s dropped: %.1f ms old", symbol, now - sent)
             return False
         rows = stamped(as_frame(spark, ticks), symbol, TICKS, None, batch_id)
-        number = rows.select("batch_id").first()[0]
-        store_ticks(rows.withColumn("arrival_msc", F.lit(int(now)).cast("bigint")), base, "list", number)
+        # a number of its own for each list: a batch number may come again
+        store_ticks(
+            rows.withColumn("arrival_msc", F.lit(int(now)).cast("bigint")), base, "list", uuid.uuid4().int >> 65
+        )
         return True
     except Exception:
         log.exception("ticks were not saved")

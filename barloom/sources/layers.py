@@ -1,27 +1,49 @@
-"""Layer datasets: parquet, partitioned by data type, symbol and timeframe."""
+"""Layer datasets: parquet, partitioned by data type, symbol, timeframe and time range.
+
+A range (``period``) holds ``PERIOD_ROWS`` bars of the series' own timeframe, so a long
+series lies in many folders, a short one in one, and a later build can replace the
+ranges it touches.
+"""
 
 from __future__ import annotations
 
 import logging
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.schemas import ALERTS, BRONZE, GOLD, KEY, QUARANTINE, SILVER, on_key
+from barloom.functions.times import micros, step_seconds_of
+from barloom.schemas import (
+    ALERTS, BRONZE, CLEAN, GOLD, KEY, LEDGER, PERIOD, QUARANTINE, SILVER, TICKS, on_key,
+)
 from barloom.session import work_folder
 
 log = logging.getLogger(__name__)
 
-SCHEMAS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD, "quarantine": QUARANTINE}
+SCHEMAS = {
+    "bronze": BRONZE, "clean": CLEAN, "ledger": LEDGER, "silver": SILVER, "gold": GOLD, "quarantine": QUARANTINE,
+}
+#: Layers whose series are cut into ranges.
+RANGED = ("clean", "silver", "gold", "quarantine")
+PERIOD_ROWS = 1 << 17
 DEFAULT_DATA_TYPE = "futures"
+TICK_SALTS = 8
+UNTIMED_SALTS = 64
 
 
 def layer_path(base: str, layer: str) -> str:
     return f"{base.rstrip('/')}/{layer}"
 
 
+def period_of(time: Column, timeframe: Column, rows: int = PERIOD_ROWS) -> Column:
+    """The start of the range that a time belongs to; a function of time and label alone."""
+    width = (step_seconds_of(F.coalesce(timeframe, F.lit(""))) * F.lit(rows * 1e6)).cast("bigint")
+    return micros(time) - F.pmod(micros(time), width)
+
+
 def _in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(
         *[
@@ -31,39 +53,86 @@ def _in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def clear_series(spark: SparkSession, base: str, layer: str, series: DataFrame) -> None:
-    """Delete the files of the given series; the folders come from the rows' own files."""
-    rows = read_layer(spark, base, layer).select(*KEY, F.col("_metadata.file_path").alias("file"))
-    found = rows.join(series, on_key(rows, series), "left_semi")
-    folder = F.regexp_replace("file", "/[^/]*$", "")
-    for row in found.select(folder.alias("folder")).distinct().collect():
-        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        target.getFileSystem(conf).delete(target, True)
+def _folder_value(path: Column, name: str) -> Column:
+    """The value that a folder such as ``symbol=A`` names."""
+    text = F.regexp_extract(path, rf"^.*/{name}=([^/]*)/", 1)
+    value = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(text != "__HIVE_DEFAULT_PARTITION__", value)
+
+
+def layer_files(spark: SparkSession, base: str, layer: str) -> DataFrame:
+    """(data_type, symbol, timeframe, period, path) of a layer's files, from their names alone."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = listing.option("pathGlobFilter", "*.parquet").load(layer_path(base, layer))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        schema = T.StructType([T.StructField("path", T.StringType())])
+        found = spark.createDataFrame([], schema)
+    keys = {name: _folder_value(F.col("path"), name) for name in (*KEY, PERIOD)}
+    files = found.select("path").withColumns(keys)
+    return files.withColumn(PERIOD, F.col(PERIOD).try_cast("bigint"))
+
+
+def listed_series(spark: SparkSession, base: str, layer: str) -> DataFrame:
+    """The series that have rows in a layer."""
+    return layer_files(spark, base, layer).select(*KEY).distinct()
+
+
+def _drop_leftovers(spark: SparkSession, base: str, layer: str, old: DataFrame, seen: DataFrame | None) -> None:
+    """Delete the files that a write should have replaced and did not, having no rows for them.
+
+    These are old files still there, of series that have new files or that are in ``seen``.
+    If ``seen`` has a column ``since``, only ranges from there on were to be replaced.
+    """
+    now = layer_files(spark, base, layer)
+    left = old.join(now.select("path"), "path", "left_semi")
+    if seen is None or "since" not in seen.columns:
+        done = now.join(old.select("path"), "path", "left_anti").select(*KEY)
+        done = (done if seen is None else done.unionByName(seen.select(*KEY))).distinct()
+        left = left.join(done, on_key(left, done), "left_semi")
+    else:
+        later = F.col("since").isNull() | F.col(PERIOD).isNull() | (F.col(PERIOD) >= F.col("since"))
+        left = left.join(seen, on_key(left, seen) & later, "left_semi")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for row in left.select("path").toLocalIterator():
+        target = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+        target.getFileSystem(conf).delete(target, False)
 
 
 def replace_series(df: DataFrame, base: str, layer: str, seen: DataFrame | None = None) -> str:
     """Write whole series: those in the frame replace their old files, others stay.
 
-    ``seen`` names all series that were processed; those without a row in the frame
-    lose their old files. The frame comes partitioned by series and slice, so each task writes few
-    files; rows are in time order within a file.
+    ``seen`` names all series that were processed; those without a row in the frame lose
+    their old files. With a column ``since`` (a range's start, or null for all), the frame
+    holds the rows from there on, and earlier ranges stay as they are. The frame is
+    computed once: what was replaced is told from the files' names. It comes partitioned by
+    series and slice, so each task writes few files; rows are in time order within a file.
     """
     path = layer_path(base, layer)
+    old = stage(layer_files(df.sparkSession, base, layer), "files")
+    rows, ranges = _in_schema(df, SCHEMAS[layer]), []
+    if layer in RANGED:
+        rows, ranges = rows.withColumn(PERIOD, period_of(F.col("time"), F.col("timeframe"))), [PERIOD]
     (
-        _in_schema(df, SCHEMAS[layer])
-        .sortWithinPartitions(*KEY, "time")
+        rows.sortWithinPartitions(*KEY, *ranges, "time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*KEY)
+        .partitionBy(*KEY, *ranges)
         .parquet(path)
     )
-    if seen is not None:
-        kept = df.select(*KEY).distinct()
-        clear_series(df.sparkSession, base, layer, seen.join(kept, on_key(seen, kept), "left_anti"))
+    if not old.isEmpty():
+        _drop_leftovers(df.sparkSession, base, layer, old, seen)
     return path
 
 
+def by_range(df: DataFrame) -> DataFrame:
+    """Dealt so that one task writes a range of a series; rows without a time go to any of many."""
+    anywhere = F.pmod(F.xxhash64(*df.columns), F.lit(UNTIMED_SALTS))
+    return df.repartition(*KEY, F.coalesce(period_of(F.col("time"), F.col("timeframe")), anywhere))
+
+
 def append_rows(df: DataFrame, base: str, layer: str) -> str:
     path = layer_path(base, layer)
     df.write.mode("append").partitionBy(*KEY).parquet(path)
@@ -94,8 +163,10 @@ def read_layer(
     data_type: str | None = None,
     symbol: str | None = None,
     timeframe: str | None = None,
+    since: datetime | None = None,
+    until: datetime | None = None,
 ) -> DataFrame:
-    """Scan a layer; key predicates prune directories.
+    """Scan a layer; key predicates prune directories, and so do ``since`` and ``until``.
 
     The schema is given, so a symbol such as ``007`` stays text. Bronze keeps
     whatever columns arrived: those of one file, and the known ones, which other
@@ -110,13 +181,39 @@ def read_layer(
     try:
         if layer == "bronze":
             schema = _bronze_schema(spark.read.parquet(path).schema)
-        df = spark.read.schema(schema).parquet(path)
+        found = T.StructType([*schema, T.StructField(PERIOD, T.LongType())]) if layer in RANGED else schema
+        df = spark.read.schema(found).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         log.warning("no files in %s", path)
         return spark.createDataFrame([], schema)
-    return _selected(df, data_type=data_type, symbol=symbol, timeframe=timeframe)
+    df = _selected(df, data_type=data_type, symbol=symbol, timeframe=timeframe)
+    for bound, lower in ((since, True), (until, False)):
+        if bound is not None:
+            limit = F.lit(bound).cast("timestamp_ntz")
+            df = df.where(F.col("time") >= limit if lower else F.col("time") < limit)
+            if layer in RANGED:
+                edge = period_of(limit, F.col("timeframe"))
+                df = df.where(F.col(PERIOD) >= edge if lower else F.col(PERIOD) <= edge)
+    return df.select(*schema.names)
+
+
+def read_files(spark: SparkSession, base: str, layer: str, files: DataFrame, ranged: bool = False) -> DataFrame:
+    """Scan the named files of a layer and no others; ``ranged`` adds the range's start.
+
+    Their paths go through the driver, which lists the files of every scan anyway.
+    """
+    schema = SCHEMAS[layer]
+    paths = [row["path"] for row in files.select("path").toLocalIterator()]
+    if paths and layer == "bronze":
+        schema = _bronze_schema(spark.read.option("basePath", layer_path(base, layer)).parquet(paths[0]).schema)
+    found = T.StructType([*schema, T.StructField(PERIOD, T.LongType())]) if layer in RANGED else schema
+    if paths:
+        df = spark.read.schema(found).option("basePath", layer_path(base, layer)).parquet(*paths)
+    else:
+        df = spark.createDataFrame([], found)
+    return df if ranged else df.select(*schema.names)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -131,10 +228,15 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def store_ticks(df: DataFrame, base: str, feed: str, epoch: int) -> None:
-    """Store ticks of one feed; the same feed and epoch again replaces its own rows only."""
+    """Store ticks of one feed; the same feed and epoch again replaces its own rows only.
+
+    A symbol's ticks are dealt to ``TICK_SALTS`` tasks at most, by their content, and so to
+    as many files.
+    """
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(TICK_SALTS))
     (
         df.withColumns({"feed": F.lit(feed), "epoch": F.lit(epoch).cast("bigint")})
-        .repartition(*KEY)
+        .repartition(*KEY, salt)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*KEY, "feed", "epoch")
@@ -143,9 +245,18 @@ def store_ticks(df: DataFrame, base: str, feed: str, epoch: int) -> None:
 
 
 def read_ticks(spark: SparkSession, base: str) -> DataFrame:
-    """All stored ticks of lists and streams."""
-    found = spark.read.option("mergeSchema", True).parquet(layer_path(base, "ticks"))
-    return found.withColumns({name: F.col(name).cast("string") for name in (*KEY, "feed")})
+    """All stored ticks of lists and streams; keys are text, and none stored is an empty frame."""
+    path = layer_path(base, "ticks")
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        log.warning("no files in %s", path)
+        return spark.createDataFrame([], TICKS)
+    text = {*KEY, "feed"}
+    fields = [T.StructField(f.name, T.StringType()) if f.name in text else f for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def append_alerts(alerts: DataFrame, base: str) -> str:
