@@ -166,7 +166,7 @@ def spanning_links(left: np.ndarray, right: np.ndarray, distance: int) -> list[t
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, print): the fingerprint as a signed long."""
+    """(doc_id, print, sign): the fingerprint as a signed long, and the XXH64 of the text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,11 +177,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 count=batch.num_rows,
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "print"]
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
+                names=["doc_id", "print", "sign"],
             )
 
-    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(convert, f"doc_id {id_type}, print long")
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("sign"))
+    return source.mapInArrow(convert, f"doc_id {id_type}, print long, sign long")
 
 
 def bits_of(keys: DataFrame) -> np.ndarray:
@@ -318,22 +319,33 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
-) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, sign, print, component_id and leads of every row.
+
+    A text leads its component if its doc_id is the smallest and, of several texts with
+    that id, its sign. Id and sign together tell rows apart where one id has many texts.
+    """
     if not 0 <= distance <= 3:
         raise ValueError("the keys find distances up to 3")
     prints = stage(fingerprints(docs, shingle), "prints")
     roots = components(links(prints, distance))
-    own = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "sign")
+    own = prints.groupBy("print").agg(F.min(first).alias("least"))
     rooted = own.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.join(smallest, "root").select("print", "component_id"), "named")
-    return prints.join(named, "print").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        "component_id",
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = stage(
+        rooted.join(smallest, "root").select(
+            "print", F.col("first.doc_id").alias("component_id"), F.col("first.sign").alias("first_sign")
+        ),
+        "named",
     )
+    leads = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("sign") == F.col("first_sign"))
+    return prints.join(named, "print").select("doc_id", "sign", "print", "component_id", leads.alias("leads"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+    hexed = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return grouped(docs, shingle, distance).select("doc_id", hexed, "component_id")
