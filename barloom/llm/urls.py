@@ -15,10 +15,11 @@ for some paths of a host doesn't block its other paths.
 
 Links are reduced to weighted host pairs before the first round. Both walks run as
 one table keyed by (walk, host); every few rounds it is written to the shared
-folder, and the walk ends early when the ranks rest: when no rank moved by ``REST`` of
-what each host of its walk would have if all had the same. A walk that still moves
-after ``ROUNDS`` is logged. Rank that reaches a host
-without links leaves the walk.
+folder, and the walks end when the ranks rest: when no rank moved by ``REST`` of
+what each host of its walk would have if all had the same. What moves shrinks by
+``DAMPING`` in each round, so the rounds grow with the logarithm of the number of hosts.
+Rank that reaches a host without links leaves the walk. A seed without incoming rank
+holds ``1 - DAMPING`` of its weight, with or without links elsewhere.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits
 no rule and is allowed unless rules say otherwise; a null html has no links; links
@@ -29,17 +30,12 @@ return as often as they come; other columns are ignored.
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stage
-
-log = logging.getLogger(__name__)
+from .common import ascii_lower, discard, stage
 
 DAMPING = 0.85
-ROUNDS = 20
 EVERY = 5
 REST = 1e-4
 LEAST = 0.1
@@ -102,7 +98,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> DataFrame:
     """(walk, host, rank) from (walk, host, weight): trust along links, distrust against."""
     both = links.select(F.lit("trust").alias("walk"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     both = both.unionByName(
@@ -114,36 +110,32 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
         "edges",
     )
     sums = seeds.groupBy("walk").agg(F.sum("weight").alias("all"))
-    start = stage(
-        seeds.join(sums, "walk").select("walk", "host", (F.col("weight") / F.col("all")).alias("rank")), "seeds"
-    )
-    base = start.select("walk", "host", ((1 - damping) * F.col("rank")).alias("rank"))
-    ranks = start
+    own = (1 - damping) * F.col("weight") / F.col("all")
+    base = stage(seeds.join(sums, "walk").select("walk", "host", own.alias("rank")), "seeds")
     if not edges.take(1):
-        return ranks
-    before = ranks
-    for number in range(1, rounds + 1):
-        sent = edges.join(ranks, ["walk", "host"]).select(
-            "walk", F.col("to").alias("host"), (damping * F.col("share") * F.col("rank")).alias("rank")
-        )
-        ranks = base.unionByName(sent).groupBy("walk", "host").agg(F.sum("rank").alias("rank"))
-        if number % EVERY == 0 or number == rounds:
-            ranks = stage(ranks, "ranks")
-            moved = (
-                ranks.unionByName(before.select("walk", "host", (-F.col("rank")).alias("rank")))
-                .groupBy("walk", "host")
-                .agg(F.abs(F.sum("rank")).alias("moved"))
-                .groupBy("walk")
-                .agg((F.max("moved") * F.count("*")).alias("moved"))
-                .agg(F.max("moved"))
-                .first()[0]
+        return base
+    before = ranks = base
+    while True:
+        for _ in range(EVERY):
+            sent = edges.join(ranks, ["walk", "host"]).select(
+                "walk", F.col("to").alias("host"), (damping * F.col("share") * F.col("rank")).alias("rank")
             )
-            before = ranks
-            if moved is None or moved < REST:
-                break
-            if number == rounds:
-                log.warning("the walks end after %d rounds, ranks still move by %.2g of an even rank", rounds, moved)
-    return ranks
+            ranks = base.unionByName(sent).groupBy("walk", "host").agg(F.sum("rank").alias("rank"))
+        ranks = stage(ranks, "ranks")
+        moved = (
+            ranks.unionByName(before.select("walk", "host", (-F.col("rank")).alias("rank")))
+            .groupBy("walk", "host")
+            .agg(F.abs(F.sum("rank")).alias("moved"))
+            .groupBy("walk")
+            .agg((F.max("moved") * F.count("*")).alias("moved"))
+            .agg(F.max("moved"))
+            .first()[0]
+        )
+        if before is not base:
+            discard(before)
+        before = ranks
+        if moved is None or moved < REST:
+            return ranks
 
 
 def seeds_of(share: DataFrame) -> DataFrame:
@@ -156,7 +148,7 @@ def seeds_of(share: DataFrame) -> DataFrame:
     return each.select("one.walk", "host", "one.weight").where("weight > 0")
 
 
-def judge(pages: DataFrame, rules: DataFrame, least: float = LEAST, rounds: int = ROUNDS) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, least: float = LEAST) -> DataFrame:
     """page_id, host, path, rule and verdict of every page, with trust and distrust."""
     url = F.col("url")
     placed = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -168,7 +160,7 @@ def judge(pages: DataFrame, rules: DataFrame, least: float = LEAST, rounds: int
         F.sum(F.when(F.col("rule_verdict") == "block", F.col("pages")).otherwise(0)).alias("blocked"),
     )
     seeds = stage(seeds_of(share), "weights")
-    ranks = propagate(seeds, host_links(pages), rounds=rounds)
+    ranks = propagate(seeds, host_links(pages))
     some = seeds.where("walk = 'distrust'")
     total = some.agg(F.sum("weight")).first()[0] or 1.0
     own = some.where("weight <= 0.5").select(
