@@ -16,7 +16,8 @@ from its relatives (``TELLING``); else the paragraph is unknown too.
 A notice may run over several lines up to a line without a word, or stand within a long
 line. Texts that share a shingle with a template are therefore searched for stretches
 that have ``SHARE`` of a template; the words of such a stretch are classified and
-confirmed like a paragraph. It counts at the line where it starts, and the other lines
+confirmed like a paragraph. Only texts that have one of the templates' ``anchors`` can have
+such a stretch; they are found by plain search, before any text is split. It counts at the line where it starts, and the other lines
 it runs over are not unknown.
 
 All text is scored, on the JVM, without Python.
@@ -28,6 +29,8 @@ without documents there are no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
@@ -35,7 +38,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 NONE, UNKNOWN = "none", "unknown"
 PLACES = 1 << 12
@@ -147,12 +150,31 @@ def told(words: Column, family: Column) -> Column:
     return verdict
 
 
+def anchors(templates: list[list[str]], share: float = SHARE) -> list[str]:
+    """Words of which every text has one that has ``share`` of a template's shingles.
+
+    Of each template the longest words, until the shingles without any of them are fewer
+    than that share.
+    """
+    found: set[str] = set()
+    for words in templates:
+        last = max(len(words) - SHINGLE + 1, 1)
+        own = {tuple(words[k : k + SHINGLE]) for k in range(last)}
+        for word in sorted(set(words), key=lambda x: (-len(x), x)):
+            if sum(found.isdisjoint(shingle) for shingle in own) < share * len(own):
+                break
+            found.add(word)
+    return sorted(found)
+
+
 def stretches(docs: DataFrame, templates: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, sig, family, place, last, words, around): where a template begins and ends.
 
     ``place`` and ``last`` are lines, ``around`` has a few words more than ``words``.
     """
     own = templates.select("family", shingles(F.col("words")).alias("own"), (2 * F.size("words")).alias("reach"))
+    texts = [row.words for row in templates.select("words").collect()]  # given by the caller, a few rows
+    docs = docs.where(F.lower("text").rlike("|".join(map(re.escape, anchors(texts, share))) or r"\z."))
     listed = templates.agg(F.array_distinct(F.flatten(F.collect_list(shingles(F.col("words"))))).alias("all"))
     known = F.array(*map(F.lit, listed.first()["all"] or [])).cast("array<string>")
     # through an array of one, as the words must not be split anew for every shingle
@@ -269,7 +291,7 @@ class Classifier:
 def train(docs: DataFrame, templates: DataFrame, sample: int = SAMPLE, places: int = PLACES) -> Classifier:
     names = [NONE] + sorted(row.family for row in templates.select("family").distinct().collect())
     index = F.array_position(F.array(*map(F.lit, names)), F.col("family")) - 1
-    rows = training_rows(docs, templates, sample).withColumn("label", index.cast("double")).cache()
+    rows = stage(training_rows(docs, templates, sample).withColumn("label", index.cast("double")), "training")
     steps = [
         NGram(n=2, inputCol="words", outputCol="_pairs"),
         HashingTF(numFeatures=places, inputCol="words", outputCol="_one", binary=True),
@@ -289,7 +311,7 @@ def train(docs: DataFrame, templates: DataFrame, sample: int = SAMPLE, places: i
         F.percentile_approx(F.when(F.col("family") != NONE, F.col("own")), 0.05, 1000).alias("high"),
     ).first()
     cut = ((ends["low"] or 0.0) + (ends["high"] if ends["high"] is not None else 1.0)) / 2
-    rows.unpersist()
+    discard(rows)
     return Classifier(model, names, cut)
 
 
