@@ -28,17 +28,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays.
 
-    Of repeated rows of that document one stays. Rows without an id can't be told
-    apart by it, and stay.
+    Rows are told apart by id and text, so of several texts under one id each is judged in
+    its own group. Of repeated rows of a document that stays one is kept. Rows without an
+    id stay.
     """
-    found = stage(simhash.near_duplicates(docs).select("doc_id", "component_id"), "groups")
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_key"))
-    # the ids that go are the shorter list: Spark may broadcast it and leave the texts in place
-    own = rows.join(stage(copies, "copies"), F.col("_key") == F.col("_id"), "left_anti")
-    heads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    if heads.where("n > 1").take(1):
-        named = own.where("_key is not null").dropDuplicates(["_key"])
+    found = stage(simhash.grouped(docs).where("doc_id is not null").select("doc_id", "sign", "leads"), "groups")
+    copies = found.where("not leads").select(F.col("doc_id").alias("_id"), F.col("sign").alias("_sign")).distinct()
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_key"), F.xxhash64("text").alias("_text")
+    )
+    # the rows that go are the shorter list: Spark may broadcast it and leave the texts in place
+    same = (F.col("_key") == F.col("_id")) & (F.col("_text") == F.col("_sign"))
+    own = rows.join(stage(copies, "copies"), same, "left_anti")
+    leading = found.where("leads").groupBy("doc_id", "sign").agg(F.count("*").alias("n"))
+    if leading.where("n > 1").take(1):
+        named = own.where("_key is not null").dropDuplicates(["_key", "_text"])
         own = named.unionByName(own.where("_key is null"))
     return own.select("row.*")
 
