@@ -32,6 +32,34 @@ def test_one_document_of_each_group_stays(spark):
     ]
 
 
+def test_texts_of_one_id_are_judged_in_their_own_groups(spark):
+    """A is in documents 2 and 3, B in 1 and 2, and C, D and D again under one id."""
+    a, b = "alpha beta gamma delta epsilon zeta eta", "one two three four five six seven eight"
+    c, d = "red green blue white black brown pink", "north south east west up down left right"
+    texts = [(1, b), (2, a), (2, b), (3, a), (7, c), (7, d), (7, d), (8, d), (9, c)]
+    rows = [(k, t, "en", "s", len(t), "x", 1, 2) for k, t in texts]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS), SF_DIR)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, b), (2, a), (7, c), (7, d)])
+
+
+def test_odd_rows_go_through_all_stages(spark):
+    """Null and very long texts, rows without id, and columns named like the operators' own."""
+    long = " ".join(f"word{k % 977} of{k}" for k in range(60_000))
+    rows = [(1, None), (2, long), (3, long), (None, "no id here"), (5, ""), (5, "short text of five words")]
+    frame = spark.createDataFrame(
+        [(k, t, "en", "s", 1, 1, 1, "x", 1, "y", True, "z") for k, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars int, sign int, `row` int, _key string,"
+        " _text int, ids string, leads boolean, component_id string",
+    )
+    docs = frame
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, SF_DIR)
+        assert docs.columns == frame.columns
+        docs.count()
+    pieces = corpus_pipeline.pack_sequences(spark, docs, SF_DIR)
+    assert pieces.count() >= docs.count()
+
+
 def test_empty_documents_go_through(spark):
     docs = spark.createDataFrame([], DOCS)
     for _, function in corpus_pipeline.STAGES:
