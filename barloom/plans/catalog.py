@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from barloom.functions import contracts as codes
 from barloom.functions import prices
 from barloom.functions.times import normalized_time, session_open
-from barloom.operators import conform, dedup, features, quality, splice, ticks
+from barloom.operators import chain, conform, dedup, features, quality, splice, ticks
 from barloom.operators.drift import drift_alerts
 from barloom.operators.fracdiff import (
     fractional_difference,
@@ -180,6 +180,12 @@ def frac_diff_least_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return least_stationary_order(frame, ORDER_GRID)
 
 
+def frac_diff_adf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The augmented regressions, with a lagged change where the criterion is for it."""
+    frame = derived.bars(spark, sf_dir).select("symbol", "time", "close")
+    return rounded(stationarity(frame, ORDER_GRID, lags=1), "t_statistic")
+
+
 def silver_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_bars(derived.raw_bars(spark, sf_dir))
 
@@ -355,6 +361,16 @@ def perpetual_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def perpetual_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly contract bars of all orders, front and next by expiry."""
+    calendar = stage(chain.contract_calendar(derived.contract_months(spark, sf_dir)), "calendar")
+    frame = stage(derived.contract_bars(spark, sf_dir, calendar), "contract-bars")
+    found = chain.perpetual_chain(frame, calendar)
+    # small volumes give exact halves of the last digit: move them off
+    names = ("front_weight", *derived.PRICE_COLUMNS)
+    return rounded(found.withColumns({name: F.col(name) + 3e-8 for name in names}), *names)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str, schema) -> DataFrame:
     return (
         spark.readStream.schema(schema)
@@ -430,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "frac_diff_ticks": frac_diff_ticks,
     "frac_diff_orders": frac_diff_orders,
     "frac_diff_least_order": frac_diff_least_order,
+    "frac_diff_adf": frac_diff_adf,
     "silver_prepare": silver_prepare,
     "silver_clean": silver_clean,
     "layers_incremental": layers_incremental,
@@ -449,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "contract_decode": contract_decode,
     "expiry_calendar": expiry_calendar,
     "perpetual_roll": perpetual_roll,
+    "perpetual_chain": perpetual_chain,
     "stream_hourly_bars": stream_hourly_bars,
     "stream_fresh_ticks": stream_fresh_ticks,
 }

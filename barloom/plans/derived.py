@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.contracts import encode
-from barloom.operators.bars import ohlc_bars
+from barloom.functions.times import truncated
+from barloom.operators.asof import asof_join
+from barloom.operators.bars import arrival_order, ohlc_aggregates, ohlc_bars
 from barloom.operators.dedup import keep_last
 from barloom.schemas import CONTRACT
 
@@ -162,3 +164,38 @@ def order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("o_orderdate").alias("traded"),
         encode(root, F.col("o_orderdate")).alias("contract"),
     )
+
+
+def contract_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of both roots for every month of the orders, and half a year more."""
+    days = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    last = F.add_months(F.trunc("last", "month"), 6)
+    months = days.select(F.explode(F.sequence(F.trunc("first", "month"), last, F.expr("interval 1 month"))).alias("month"))
+    roots = F.explode(F.array(F.lit("WIN"), F.lit("WDO"))).alias("root")
+    return months.select(roots, "month").select(
+        encode(F.col("root"), F.col("month")).alias("contract"), F.to_date("month").alias("month")
+    )
+
+
+def contract_bars(spark: SparkSession, sf_dir: str, calendar: DataFrame) -> DataFrame:
+    """Weekly bars of orders: each trades in the front contract, some in the one after it.
+
+    The share that trades ahead grows from month's end to month's end, so it wavers around
+    the roll.
+    """
+    ahead = F.pmod(F.col("o_orderkey") * 7, F.lit(31)) < F.dayofmonth("o_orderdate")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 2 == 0, "WIN").otherwise("WDO").alias("root"),
+        F.col("o_orderdate").alias("time"),
+        ahead.alias("ahead"),
+        "o_orderkey",
+        "o_totalprice",
+        (F.col("o_custkey") % 10).alias("opened"),
+    )
+    named = asof_join(
+        orders, calendar, ["contract", "following"], keys=["root"], direction="forward"
+    ).withColumn("contract", F.when(F.col("ahead"), F.col("following")).otherwise(F.col("contract")))
+    order = arrival_order("time", "o_orderkey")
+    return named.groupBy("root", "contract", truncated(F.col("time"), "week").alias("time")).agg(
+        *ohlc_aggregates("o_totalprice", order), F.sum("opened").alias("open_interest")
+    )

@@ -230,6 +230,37 @@ statistics AS (
   FROM fits
 )"""
 
+_AUGMENTED = f"""WITH {_BARS},
+weights(d, weight) AS (VALUES {_GRID_WEIGHTS}),
+recent AS (
+  SELECT symbol, row_number() OVER w AS rn, list(close) OVER (w ROWS 100 PRECEDING) AS history
+  FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY time)
+),
+levels AS (
+  SELECT symbol, d, rn, list_dot_product(history, weight) AS y
+  FROM recent CROSS JOIN weights WHERE rn > 100
+),
+rows AS (
+  SELECT symbol, d, rn, lag(y) OVER v AS x, lag(y) OVER v - lag(y, 2) OVER v AS z, y - lag(y) OVER v AS dy
+  FROM levels WINDOW v AS (PARTITION BY symbol, d ORDER BY rn)
+),
+sums AS (
+  SELECT symbol, d, count(*) AS n, count(*) * var_pop(x) AS xx, count(*) * var_pop(z) AS zz,
+         count(*) * var_pop(dy) AS yy, count(*) * covar_pop(x, z) AS xz,
+         count(*) * covar_pop(x, dy) AS xy, count(*) * covar_pop(z, dy) AS zy
+  FROM rows WHERE rn > 102 GROUP BY 1, 2
+),
+slopes AS (
+  SELECT *, xy / xx AS b0, xx * zz - xz * xz AS det, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1,
+         (zy * xx - xy * xz) / (xx * zz - xz * xz) AS c1
+  FROM sums
+),
+rests AS (SELECT *, yy - b0 * xy AS r0, yy - b1 * xy - c1 * zy AS r1 FROM slopes),
+chosen AS (SELECT *, n * ln(r1 / n) + 6 < n * ln(r0 / n) + 4 AS lagged FROM rests)
+SELECT symbol, d, n, CASE WHEN lagged THEN 1 ELSE 0 END::INTEGER AS lags,
+       {_r("CASE WHEN lagged THEN b1 / sqrt(r1 / (n - 3) * zz / det) ELSE b0 / sqrt(r0 / (n - 2) / xx) END", "t_statistic")}
+FROM chosen"""
+
 _TICKS = """
 ticks AS (
   SELECT event_id, event_type AS symbol, event_id // 50 AS batch_id, event_id AS ingest_seq,
@@ -368,6 +399,7 @@ SELECT symbol, time, {_same("frac_diff_close")} FROM diffed""",
 SELECT symbol, d, n, {_same("t_statistic")} FROM statistics""",
     "frac_diff_least_order": f"""{_STATISTICS}
 SELECT symbol, min(d) FILTER (WHERE t_statistic < -2.86) AS least_d FROM statistics GROUP BY 1""",
+    "frac_diff_adf": _AUGMENTED,
     "silver_prepare": f"WITH {_RAW} SELECT * FROM prepared",
     "splice_asof": _splice_rows("close"),
     "splice_sliced": _splice_rows("close"),
@@ -464,6 +496,77 @@ SELECT root, time, {_r("w", "front_weight")},
        {_r("w * ao + (1 - w) * bo", "open")}, {_r("w * ah + (1 - w) * bh", "high")},
        {_r("w * al + (1 - w) * bl", "low")}, {_r("w * ac + (1 - w) * bc", "close")},
        tick_volume
+FROM shares""",
+    "perpetual_chain": f"""WITH months AS (
+  SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)),
+                                     date_trunc('month', max(o_orderdate)) + INTERVAL 6 MONTH,
+                                     INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM orders
+),
+days AS (
+  SELECT month, CAST(unnest(generate_series(month, month + INTERVAL 27 DAY, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM months
+),
+expiries AS (
+  SELECT 'WIN' AS root, month, arg_min(day, abs(day(day) - 15)) FILTER (WHERE isodow(day) = 3) AS expiry
+  FROM days WHERE month(month) % 2 = 0 GROUP BY month
+  UNION ALL
+  SELECT 'WDO', month, min(day) FILTER (WHERE isodow(day) < 6) FROM days GROUP BY month
+),
+named AS (
+  SELECT root, expiry::TIMESTAMP AS expiry,
+         root || substr('FGHJKMNQUVXZ', month(month)::INTEGER, 1) || strftime(month, '%y') AS contract
+  FROM expiries
+),
+calendar AS (
+  SELECT *, lead(contract) OVER (PARTITION BY root ORDER BY expiry) AS following FROM named
+),
+sent AS (
+  SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'WIN' ELSE 'WDO' END AS root, o_orderdate AS time,
+         o_orderkey * 7 % 31 < day(o_orderdate) AS ahead, o_orderkey, o_totalprice, o_custkey % 10 AS opened
+  FROM orders
+),
+trades AS (
+  SELECT s.root, s.time, o_orderkey, o_totalprice, opened,
+         CASE WHEN ahead THEN following ELSE contract END AS contract
+  FROM sent s ASOF LEFT JOIN calendar c ON s.root = c.root AND s.time <= c.expiry
+),
+bars AS (
+  SELECT root, contract, date_trunc('week', time)::TIMESTAMP AS time,
+         first(o_totalprice ORDER BY time, o_orderkey) AS open, max(o_totalprice) AS high,
+         min(o_totalprice) AS low, last(o_totalprice ORDER BY time, o_orderkey) AS close,
+         count(*) AS tick_volume, count(*) + sum(opened) AS activity
+  FROM trades GROUP BY 1, 2, 3
+),
+placed AS (
+  SELECT b.*, c.contract AS front, c.following FROM bars b
+  ASOF JOIN calendar c ON b.root = c.root AND b.time <= c.expiry
+),
+a AS (SELECT * FROM placed WHERE contract = front),
+b AS (SELECT * FROM placed WHERE contract = following),
+sides AS (
+  SELECT coalesce(a.root, b.root) AS root, coalesce(a.time, b.time) AS time,
+         coalesce(a.front, b.front) AS front, coalesce(a.following, b.following) AS following,
+         a.open AS ao, b.open AS bo, a.high AS ah, b.high AS bh, a.low AS al, b.low AS bl,
+         a.close AS ac, b.close AS bc,
+         (coalesce(a.tick_volume, 0) + coalesce(b.tick_volume, 0))::BIGINT AS tick_volume,
+         CASE WHEN b.root IS NULL THEN 1.0 WHEN a.root IS NULL THEN 0.0
+              ELSE a.activity::DOUBLE / (a.activity + b.activity) END AS share
+  FROM a FULL JOIN b ON a.root = b.root AND a.time = b.time
+),
+scanned AS (
+  SELECT *, bool_or(share < 0.5) OVER (PARTITION BY root, front ORDER BY time) AS rolled FROM sides
+),
+shares AS (
+  SELECT *, coalesce(min(share) FILTER (WHERE rolled) OVER (PARTITION BY root, front ORDER BY time), share) AS w
+  FROM scanned
+)
+SELECT root, time, front, following, {_r("w + 3e-8", "front_weight")}, rolled,
+       {_r("CASE WHEN ao IS NULL THEN bo WHEN bo IS NULL THEN ao ELSE w * ao + (1 - w) * bo END + 3e-8", "open")},
+       {_r("CASE WHEN ah IS NULL THEN bh WHEN bh IS NULL THEN ah ELSE w * ah + (1 - w) * bh END + 3e-8", "high")},
+       {_r("CASE WHEN al IS NULL THEN bl WHEN bl IS NULL THEN al ELSE w * al + (1 - w) * bl END + 3e-8", "low")},
+       {_r("CASE WHEN ac IS NULL THEN bc WHEN bc IS NULL THEN ac ELSE w * ac + (1 - w) * bc END + 3e-8", "close")},
+       tick_volume
 FROM shares""",
     "stream_hourly_bars": f"WITH {_BARS} SELECT * FROM bars",
     "stream_fresh_ticks": _FRESH,

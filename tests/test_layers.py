@@ -191,3 +191,37 @@ def test_lists_and_streams_of_ticks_share_a_layout(spark, base, tmp_path):
 def test_work_folder_lies_in_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(f"{shared}/x-")
+
+
+def test_a_reused_batch_number_keeps_both_lists(spark, base):
+    for rows in ([10, 11, 12], [20, 21]):
+        assert append_ticks(spark, base, "007", [{"time_msc": t, "bid": 1.0} for t in rows], now_msc=22, batch_id=4)
+    assert read_layer(spark, base, "ticks").count() == 5
+    assert read_layer(spark, base, "ticks", symbol="007").count() == 5
+
+
+def test_missing_ticks_are_an_empty_frame(spark, base, caplog):
+    with caplog.at_level(logging.WARNING):
+        found = read_layer(spark, base, "ticks", symbol="A")
+    assert found.count() == 0 and "time_msc" in found.columns and "no files" in caplog.text
+
+
+def test_times_that_are_no_text_keep_their_fraction(spark, base):
+    rows = [{**row, "time": at("2026-08-19 10:00:00.5")} for row in bar_rows(1)]
+    append_bars(spark, base, rows, "A", "S1")
+    append_bars(spark, base, [{**bar_rows(1)[0], "time": "2026-08-19 10:00:00.5"}], "A", "S1")
+    build_silver(spark, base)
+    assert [r["time"] for r in read_layer(spark, base, "silver").collect()] == [at("2026-08-19 10:00:00.5")]
+    assert [r["reason"] for r in read_layer(spark, base, "quarantine").collect()] == ["unparsed_time"]
+
+
+def test_one_bad_gold_series_is_reported_and_holds_no_other(spark, base):
+    frame = many_bars(spark, ["A", "B"], 25).withColumns(
+        {"data_type": F.lit("futures"), "timeframe": F.lit("M1"), "time": F.col("time").cast("timestamp_ntz")}
+    )
+    for name in ("tick_volume",):
+        frame = frame.withColumn(name, F.when(F.col("symbol") == "A", -1).otherwise(F.col(name)))
+    replace_series(frame, base, "gold")
+    assert {r["symbol"]: r["is_valid"] for r in check_gold(spark, base).collect()} == {"A": False, "B": True}
+    with pytest.raises(DataQualityError):
+        check_gold(spark, base, symbol="A")
