@@ -35,7 +35,9 @@ from barloom.sources.layers import (
     replace_series,
     stage,
 )
+from barloom.streaming import features as live
 from barloom.streaming.bars import store_bars, stored_bars, stream_bars
+from barloom.streaming.breaker import judge_batches, judged_ticks
 from barloom.streaming.ticks import fresh_ticks as read_fresh_ticks
 from barloom.streaming.ticks import guard_ticks
 
@@ -388,6 +390,19 @@ def stream_hourly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_bars(spark, f"{out}/bars")
 
 
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars of all events as a stream in three parts, through features with state."""
+    out = work_folder(spark, "stream-features")
+    bars = stage(derived.bars(spark, sf_dir), "bars")
+    third = F.least(F.floor((F.dayofmonth("time") - 1) / 10), F.lit(2))
+    for number in range(3):
+        bars.where(third == number).coalesce(1).write.mode("append").parquet(f"{out}/arriving")
+    arriving = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/arriving")
+    found = live.stream_features(arriving, "0 seconds")
+    live.store_features(found, f"{out}/features", f"{out}/checkpoint", availableNow=True).awaitTermination()
+    return rounded(live.stored_features(spark, f"{out}/features").drop("frac_diff_close"), *FEATURES)
+
+
 def stream_fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of tick batches through the breaker."""
     schema = derived.table(spark, sf_dir, "events").schema
@@ -397,6 +412,16 @@ def stream_fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fresh_ticks(spark, out).select("event_id", "batch_id", "time_msc")
 
 
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as tick batches, judged as they close; every tick, dead letters marked."""
+    schema = derived.table(spark, sf_dir, "events").schema
+    out = work_folder(spark, "stream-breaker")
+    stream = derived.as_tick_batches(_event_stream(spark, sf_dir, schema))
+    guard_ticks(stream, out, f"{out}/guard", availableNow=True).awaitTermination()
+    judge_batches(spark, out, f"{out}/judge", "2 days", "0 seconds", availableNow=True).awaitTermination()
+    return judged_ticks(spark, out).select("event_id", "batch_id", "time_msc", "is_stale")
+
+
 QUERIES: dict[str, Query] = {
     "ohlc_bars": ohlc_bars,
     "log_return": _feature(features.log_return, ["close"], "log_return"),
@@ -468,5 +493,7 @@ QUERIES: dict[str, Query] = {
     "perpetual_roll": perpetual_roll,
     "perpetual_chain": perpetual_chain,
     "stream_hourly_bars": stream_hourly_bars,
+    "stream_features": stream_features,
     "stream_fresh_ticks": stream_fresh_ticks,
+    "stream_dead_letters": stream_dead_letters,
 }

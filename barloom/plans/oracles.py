@@ -569,5 +569,8 @@ SELECT root, time, front, following, {_r("w + 3e-8", "front_weight")}, rolled,
        tick_volume
 FROM shares""",
     "stream_hourly_bars": f"WITH {_BARS} SELECT * FROM bars",
+    "stream_features": _gold_rows(_BARS),
     "stream_fresh_ticks": _FRESH,
+    "stream_dead_letters": f"""WITH {_TICKS}
+SELECT event_id, batch_id, time_msc, age_msc > 10 AS is_stale FROM ticks JOIN ages USING (symbol, batch_id)""",
 }
