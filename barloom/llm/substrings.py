@@ -1,26 +1,28 @@
-"""Exact substring removal by a hash join of word windows in reference blocks.
-
-It takes the place of relative Lempel-Ziv parsing: which words a smaller document has
-in a run of ``WINDOW`` or more follows from the repeated windows alone. A "factor" here
-is a run of repeated windows, which may come from different documents; it has no
-reference position and is not a greedy longest match.
+"""Exact substring removal by relative Lempel-Ziv factors.
 
 The reference of a document is every document with a smaller id. It is indexed in
 blocks by seed: the seed of a 13-word window is its least hashed 5-word gram (a
 minimizer), so equal windows have equal seeds wherever they stand, and runs of
 neighbouring windows share one seed occurrence.
 
-1. ``parse_block`` reads a batch of documents, indexes it and parses the batch
+1. ``parse_block`` reads a batch of documents, indexes it and factors the batch
    against itself: of equal windows, only those of the smallest document go on; the
-   others are hits already. What goes on is dealt to reference blocks by seed, and
-   windows of a heavy seed by seed and check bits, so that a gram in ever changing
-   surroundings does not fill one block. Heavy seeds are found in every ``PART``-th
-   document, as those that ``HEAVY`` windows or more would have; which ones are found
-   does not change results, as equal windows have equal seeds and checks. A block gets
+   others have their reference position already. What goes on is dealt to reference
+   blocks by seed, and windows of a heavy seed by seed and check bits, so that a gram in
+   ever changing surroundings does not fill one block. Heavy seeds are found in every
+   ``PART``-th document, as those that ``HEAVY`` windows or more would have; which ones are
+   found does not change results, as equal windows have equal seeds and checks. A block gets
    at most one row of a window from each batch, however often a passage repeats.
-2. ``resolve_block`` merges one reference block of all batches and returns, as
-   factors, the maximal runs of windows that start in a smaller document.
-3. The words that a document's factors cover are left out.
+2. ``resolve_block`` merges one reference block of all batches and factors what it holds
+   of every document against it. A window's reference position is the first one in the
+   smallest document that has it, and a factor goes on as long as the next window's
+   position is the next one of the same document.
+3. A document's factors from all blocks meet at their boundaries: those that continue
+   each other in the same document are one longer factor (``joined_factors``), and a greedy
+   parse from the left takes of the factors that begin before the end reached so far the
+   one that goes furthest (``greedy_parse``). Windows over a boundary are factors of their
+   own, so no repeated window is missed, and a factor has ``WINDOW`` words or more.
+4. The words that the parse covers are left out.
 
 A window is known by the 64-bit hash of its seed with 48 more bits of all its
 words; only windows with an equal seed are compared by the latter.
@@ -53,7 +55,8 @@ BLOCK_BYTES = 6 << 20
 HEAVY = 1 << 18
 PART = 64
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
-FACTORS = "doc_id long, sig long, start int, stop int"
+FACTORS = "doc_id long, sig long, start int, stop int, ref long, ref_start int"
+OWN = 6  # numbers of a factor
 LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -100,29 +103,79 @@ def seeded_windows(words: np.ndarray, document: np.ndarray, window: int, gram: i
     return starts, (starts + place[starts]), least[starts], checks
 
 
-def runs(document: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Maximal runs of following window starts: document, first start, last start + 1."""
+def factors_of(
+    document: np.ndarray, starts: np.ndarray, ref: np.ndarray, ref_starts: np.ndarray
+) -> list[np.ndarray]:
+    """Factors of following windows at following places of one reference document.
+
+    document, first start, last start + 1, reference and the first start there.
+    """
     if not len(starts):
-        return [document, starts, starts]
+        return [document, starts, starts, ref, ref_starts]
     order = np.lexsort((starts, document))
-    document, starts = document[order], starts[order]
+    document, starts, ref, ref_starts = (x[order] for x in (document, starts, ref, ref_starts))
     new = np.ones(len(starts), dtype=bool)
-    new[1:] = (document[1:] != document[:-1]) | (starts[1:] > starts[:-1] + 1)
+    new[1:] = (
+        (document[1:] != document[:-1])
+        | (starts[1:] > starts[:-1] + 1)
+        | (ref[1:] != ref[:-1])
+        | (ref_starts[1:] - ref_starts[:-1] != starts[1:] - starts[:-1])
+    )
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    return [document[first], starts[first], starts[last] + 1]
+    return [document[first], starts[first], starts[last] + 1, ref[first], ref_starts[first]]
 
 
-def repeated(ids: np.ndarray, seeds: np.ndarray, checks: np.ndarray) -> np.ndarray:
-    """Which windows also start in a row of a smaller id."""
+def references(ids: np.ndarray, seeds: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows also start in a row of a smaller id, and the first such window."""
     order = np.lexsort((ids, checks, seeds))
-    s, c, i = seeds[order], checks[order], ids[order]
+    s, c = seeds[order], checks[order]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
-    smallest = i[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else i
-    hit = np.empty(len(order), dtype=bool)
-    hit[order] = i > smallest
-    return hit
+    ref = np.empty(len(order), dtype=np.int64)
+    ref[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
+    return ids > ids[ref], ref
+
+
+def joined_factors(factors: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Factors (start, stop, reference, start there) joined where one continues another."""
+    found: list[tuple[int, int, int, int]] = []
+    last: dict[tuple[int, int], int] = {}  # reference and shift: place in found
+    for start, stop, ref, ref_start in sorted(factors):
+        place = last.get((ref, ref_start - start))
+        if place is not None and found[place][1] >= start:
+            first, end, _, there = found[place]
+            found[place] = (first, max(end, stop), ref, there)
+        else:
+            last[ref, ref_start - start] = len(found)
+            found.append((start, stop, ref, ref_start))
+    return found
+
+
+def greedy_parse(factors: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
+    """(start, length, reference, start there), from the left, each reaching as far as any.
+
+    Start and length are in words; what one factor has covered the next one begins after.
+    """
+    parsed: list[tuple[int, int, int, int]] = []
+    best, reached, at = None, 0, 0
+    ordered = sorted(joined_factors(factors))
+    while at < len(ordered) or best:
+        while at < len(ordered) and (best is None or ordered[at][0] <= reached):
+            start, stop, ref, ref_start = ordered[at]
+            if best is None and start > reached:
+                reached = start
+            end = stop + window - 1
+            if end > reached and (best is None or end > best[0]):
+                best = end, start, ref, ref_start
+            at += 1
+        if best is None:
+            continue
+        end, start, ref, ref_start = best
+        begin = max(start, reached)
+        parsed.append((begin, end - begin, ref, ref_start + begin - start))
+        reached, best = end, None
+    return parsed
 
 
 def among(seeds: np.ndarray, heavy: np.ndarray | None) -> np.ndarray:
@@ -167,11 +220,12 @@ def parse_block(
     starts, places, seeds, checks = seeded_windows(mixed(words), row, window, gram)
     doc, sig = np.array(ids, dtype=np.int64), np.array(sigs, dtype=np.int64)
     at = row[starts]
-    hit = repeated(doc[at], seeds, checks)
+    hit, ref = references(doc[at], seeds, checks)
+    inside = starts - begin[at]
     spread = among(seeds, heavy)
     dealt = np.where(spread, mixed(seeds ^ (checks * np.uint64(ODD[1]))), seeds)
     block = (dealt >> np.uint64(20)) % np.uint64(blocks)
-    own = runs(at[hit], (starts - begin[at])[hit])
+    own = factors_of(at[hit], inside[hit], doc[at[ref[hit]]], inside[ref[hit]])
     target = own[0] % blocks
     rest = ~hit
     starts, places, seeds, checks, at, block, spread = (
@@ -201,7 +255,7 @@ def parse_block(
             seeds[heads],
             check.astype("<u4"),
             (check >> np.uint64(32)).astype("<u2"),
-            np.stack([doc[own[0][found]], sig[own[0][found]], own[1][found], own[2][found]]),
+            np.stack([doc[own[0][found]], sig[own[0][found]], *(x[found] for x in own[1:])]),
         )
 
 
@@ -224,7 +278,7 @@ def parted(data: bytes) -> list[np.ndarray]:
 
 
 def resolve_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """All of a reference block: the factors of windows that start in a smaller document."""
+    """All of a reference block: factors of what it has of each document, against itself."""
     docs, sigs, starts, seeds, checks, found = [], [], [], [], [], []
     for data in rows["data"]:
         doc, sig, local, start, many, seed, low, high, own = parted(data)
@@ -236,25 +290,25 @@ def resolve_block(rows: pd.DataFrame) -> pd.DataFrame:
         starts.append(np.repeat(start.astype(np.int64), many) + step)
         seeds.append(np.repeat(seed, many))
         checks.append(high.astype(np.uint64) << np.uint64(32) | low)
-        found.append(own.reshape(4, -1))
+        found.append(own.reshape(OWN, -1))
     doc, sig, start = (np.concatenate(x) for x in (docs, sigs, starts))
-    hit = repeated(doc, np.concatenate(seeds), np.concatenate(checks))
+    hit, ref = references(doc, np.concatenate(seeds), np.concatenate(checks))
     pairs, row = np.unique(np.stack([doc[hit], sig[hit]]), axis=1, return_inverse=True)
-    at, begin, end = runs(row, start[hit])
-    found = np.concatenate([np.stack([*pairs[:, at], begin, end]), *found], axis=1)
-    return pd.DataFrame(dict(zip(("doc_id", "sig", "start", "stop"), found)))
+    at, *factor = factors_of(row, start[hit], doc[ref[hit]], start[ref[hit]])
+    found = np.concatenate([np.stack([*pairs[:, at], *factor]), *found], axis=1)
+    return pd.DataFrame(dict(zip(("doc_id", "sig", "start", "stop", "ref", "ref_start"), found)))
 
 
-def factor_mask(count: int, factors: np.ndarray, window: int) -> np.ndarray:
-    """Words covered by factors: runs of window starts, each reaching ``window`` words."""
-    change = np.zeros(count + 1, dtype=np.int64)
-    np.add.at(change, factors[:, 0], 1)
-    np.add.at(change, factors[:, 1] + window - 1, -1)
-    return np.cumsum(change[:-1]) > 0
+def factor_mask(count: int, parsed: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """Words that the factors of a parse cover."""
+    mask = np.zeros(count, dtype=bool)
+    for start, length, _, _ in parsed:
+        mask[start : start + length] = True
+    return mask
 
 
 def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, sig (hash of the text), start, stop: runs of repeated windows, by word."""
+    """doc_id, sig (hash of the text), start, stop, ref, ref_start: factors of each block, by window."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -296,6 +350,36 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     return parsed.groupBy("block").applyInPandas(resolve_block, FACTORS)
 
 
+def listed_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """doc_id, sig and the list of factors of each text that has any."""
+    factor = F.struct("start", "stop", "ref", "ref_start")
+    found = duplicate_factors(docs, window, gram).groupBy("doc_id", "sig")
+    return found.agg(F.collect_list(factor).alias("found")).select(
+        "doc_id", "sig", *[F.col("found")[name].alias(name) for name in ("start", "stop", "ref", "ref_start")]
+    )
+
+
+def parse(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """doc_id, sig, start, length, ref and ref_start: the parse of each text, in words.
+
+    ``length`` words from ``start`` on stand in document ``ref`` from ``ref_start`` on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (doc_id, sig, *factor)
+                for doc_id, sig, *found in zip(*(column.to_pylist() for column in batch.columns))
+                for factor in greedy_parse(list(zip(*found)), window)
+            ]
+            for at in range(0, len(rows), 10_000):
+                columns = zip(*rows[at : at + 10_000])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=names)
+
+    names = ["doc_id", "sig", "start", "length", "ref", "ref_start"]
+    return listed_factors(docs, window, gram).mapInArrow(run, ", ".join(f"{name} long" for name in names))
+
+
 def parsed_rows(
     docs: DataFrame, carry: list[str], window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -304,24 +388,18 @@ def parsed_rows(
     ``kept`` is the text itself where nothing is removed, else the kept words joined
     by one space.
     """
-    factors = stage(
-        duplicate_factors(docs, window, gram)
-        .groupBy("doc_id", "sig")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("factors"))
-        .select("doc_id", "sig", "factors.start", "factors.stop"),
-        "factors",
-    )
+    factors = stage(listed_factors(docs, window, gram), "factors")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, kept, digests = [], [], [], []
-            for text, start, stop in zip(*(column.to_pylist() for column in batch.columns[1:])):
+            for text, *found in zip(*(column.to_pylist() for column in batch.columns[1:])):
                 words = text.split() if text else []
                 own = text
                 joined = b" ".join(words)
                 gone = 0
-                if start:
-                    mask = factor_mask(len(words), np.array([start, stop]).T, window)
+                if found[0]:
+                    mask = factor_mask(len(words), greedy_parse(list(zip(*found)), window))
                     gone = int(mask.sum())
                     joined = own = b" ".join([words[k] for k in np.flatnonzero(~mask)])
                 counts.append(len(words))
@@ -350,7 +428,7 @@ def parsed_rows(
     schema = extended(
         rows.select("row"), "n_words long, n_removed long, kept string, kept_sha256 string"
     )
-    return joined.select("row", "text", "start", "stop").mapInArrow(remove, schema)
+    return joined.select("row", "text", "start", "stop", "ref", "ref_start").mapInArrow(remove, schema)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
