@@ -9,11 +9,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barloom import constants as C
 from barloom.functions import contracts as codes
 from barloom.functions import prices
 from barloom.functions.times import normalized_time, session_open
-from barloom.operators import chain, conform, dedup, features, quality, splice, ticks
-from barloom.operators.drift import drift_alerts
+from barloom.operators import chain, conform, dedup, drift, features, quality, splice, ticks
 from barloom.operators.fracdiff import (
     fractional_difference,
     least_stationary_order,
@@ -28,7 +28,7 @@ from barloom.schemas import FEATURES, KEY
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars
 from barloom.sources.layers import (
-    append_alerts,
+    append_audit,
     period_of,
     read_alerts,
     read_layer,
@@ -322,15 +322,16 @@ def fresh_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = drift_alerts(derived.model_metrics(spark, sf_dir))
+    found = drift.drift_alerts(derived.model_metrics(spark, sf_dir))
     return rounded(found.drop("metrics"), "sharpe_ratio")
 
 
 def drift_alert_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same audit appended twice; alerts counted by day and model, each once."""
+    """A strict audit, corrected by a second one; the alerts that stand by day and model."""
     base = work_folder(spark, "alerts")
-    for _ in range(2):
-        append_alerts(drift_alerts(derived.model_metrics(spark, sf_dir)), base)
+    metrics = stage(derived.model_metrics(spark, sf_dir), "metrics")
+    for least in (2 * C.MIN_SHARPE, C.MIN_SHARPE):
+        append_audit(drift.drift_audit(metrics, least), base)
     return read_alerts(spark, base).groupBy("alert_date", "model").agg(F.count("*").alias("alerts"))
 
 

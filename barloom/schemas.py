@@ -71,6 +71,7 @@ ALERTS = T.StructType(
         T.StructField("sharpe_ratio", T.DoubleType()),
         T.StructField("title", T.StringType()),
         T.StructField("metrics", T.StringType()),
+        T.StructField("audit", T.LongType()),
         T.StructField("alert_date", T.DateType()),
     ]
 )

@@ -8,6 +8,7 @@ ranges it touches.
 from __future__ import annotations
 
 import logging
+import time
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -259,13 +260,25 @@ def read_ticks(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def append_alerts(alerts: DataFrame, base: str) -> str:
+def append_audit(audit: DataFrame, base: str) -> str:
+    """Store the rows of an audit: alerts, and rows without title where all was well.
+
+    The latter withdraw what an earlier audit said of the same model and time.
+    """
     path = layer_path(base, "alerts")
-    alerts.write.mode("append").partitionBy("alert_date").parquet(path)
+    numbered = audit.withColumn("audit", F.lit(time.time_ns()))
+    numbered.write.mode("append").partitionBy("alert_date").parquet(path)
     return path
 
 
+def append_alerts(alerts: DataFrame, base: str) -> str:
+    """Store alerts alone; earlier alerts of other models and times stay."""
+    return append_audit(alerts, base)
+
+
 def read_alerts(spark: SparkSession, base: str) -> DataFrame:
-    """Each alert once, however often its audit was run."""
+    """The alerts that stand: of each model and time what the latest audit said."""
     found = spark.read.schema(ALERTS).parquet(layer_path(base, "alerts"))
-    return found.dropDuplicates(["model", "ts"])
+    rest = [name for name in ALERTS.names if name not in ("model", "ts", "audit")]
+    latest = found.groupBy("model", "ts").agg(F.max_by(F.struct(*rest), "audit").alias("last"))
+    return latest.select("model", "ts", *[F.col("last")[name].alias(name) for name in rest]).where("title is not null")

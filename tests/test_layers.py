@@ -7,14 +7,14 @@ import pytest
 from conftest import at, bar_rows, many_bars
 from pyspark.sql import functions as F
 
-from barloom.operators.drift import drift_alerts
+from barloom.operators.drift import drift_alerts, drift_audit
 from barloom.operators.quality import DataQualityError
 from barloom.plans.gold import build_gold, check_gold
 from barloom.plans.medallion import run_layers
 from barloom.plans.silver import build_silver
 from barloom.session import work_folder
 from barloom.sources.bronze import append_bars, append_ticks
-from barloom.sources.layers import append_alerts, read_alerts, read_layer, replace_series
+from barloom.sources.layers import append_alerts, append_audit, read_alerts, read_layer, replace_series
 from barloom.streaming.ticks import guard_ticks
 
 
@@ -225,3 +225,12 @@ def test_one_bad_gold_series_is_reported_and_holds_no_other(spark, base):
     assert {r["symbol"]: r["is_valid"] for r in check_gold(spark, base).collect()} == {"A": False, "B": True}
     with pytest.raises(DataQualityError):
         check_gold(spark, base, symbol="A")
+
+
+def test_the_latest_audit_counts(spark, base):
+    def metrics(*rows):
+        return spark.createDataFrame([(m, at("2026-08-19 10:00:00"), x) for m, x in rows], "model string, ts timestamp_ntz, sharpe_ratio double")
+
+    append_audit(drift_audit(metrics(("a", 1.2), ("b", 1.1), ("c", 0.5))), base)
+    append_audit(drift_audit(metrics(("a", 1.9), ("b", 0.3))), base)  # a was wrong, b is worse
+    assert {(r["model"], r["sharpe_ratio"]) for r in read_alerts(spark, base).collect()} == {("b", 0.3), ("c", 0.5)}
