@@ -44,21 +44,18 @@ def bars(symbol, first, count, contract=None, seed=1, step=0.0):
 
 
 BATCHES = {
-    "later bars": [bars("WIN$", 0, 300) + bars("B", 0, 260), bars("WIN$", 300, 90)],
     "a correction in the middle": [bars("WIN$", 0, 300) + bars("B", 0, 260), bars("WIN$", 150, 2, seed=5)],
-    "a further contract": [bars("WIN$", 0, 200) + bars("B", 0, 90), bars("WIN$", 200, 90, "C2", step=3.0)],
     "a roll moves": [
         bars("WIN$", 0, 100) + bars("WIN$", 100, 100, "C2", step=3.0), bars("WIN$", 80, 30, "C2", seed=2, step=3.0),
     ],
-    "three batches and a new series": [
-        bars("B", 0, 10), bars("B", 200, 10) + bars("new", 0, 30), bars("B", 10, 190) + bars("WIN$", 3, 5),
-    ],
+    "bars before all others, and a new series": [bars("WIN$", 100, 200), bars("WIN$", 0, 50) + bars("new", 0, 30)],
     "bad bars and times": [
         bars("B", 0, 200),
-        [{**bars("B", 70, 1)[0], "low": 99.0}, {**bars("B", 71, 1)[0], "time": "soon"}, {**bars("C", 0, 1)[0], "time": None}],
-        [{**bars("B", 130, 1)[0], "close": float("inf")}],
+        [
+            {**bars("B", 70, 1)[0], "low": 99.0}, {**bars("B", 71, 1)[0], "time": "soon"},
+            {**bars("C", 0, 1)[0], "time": None}, {**bars("B", 130, 1)[0], "close": float("inf")},
+        ],
     ],
-    "bars before all others": [bars("WIN$", 100, 200), bars("WIN$", 0, 50)],
 }
 
 
