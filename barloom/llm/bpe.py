@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RANKS = "byte_bpe_50k.tiktoken"
-BLOCK = 1 << 24
-KNOWN = 1 << 19
+BLOCK = 1 << 23
+KNOWN = 1 << 18
 #: Positions of one rank that are merged in one step.
 STEP = 1 << 16
 #: Letters, digits and blanks up to U+00FF, for texts that have no other characters.
@@ -113,9 +113,10 @@ def replay(words: list[bytes], known: Vocabulary) -> tuple[np.ndarray, np.ndarra
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     # place n stands for the ends of words: it has no token and makes no pair
     token = np.append(known.bytes[np.frombuffer(data, np.uint8)], np.int32(-1))
-    after = np.arange(1, n + 2)
+    place = np.int32 if n < FREE else np.int64
+    after = np.arange(1, n + 2, dtype=place)
     after[ends[ends > starts] - 1] = n
-    before = np.arange(-1, n)
+    before = np.arange(-1, n, dtype=place)
     before[starts[ends > starts]] = n
     rank = np.full(n + 1, FREE)
     rank[:n] = known.rank(token[:n], token[after[:n]])
@@ -228,11 +229,11 @@ class Encoder:
 
     def forget(self) -> None:
         self.numbers = Numbers()
-        self.flat, self.count = np.zeros(0, ID), np.zeros(0, np.int64)
+        self.flat, self.count = np.zeros(0, ID), np.zeros(0, np.int32)
 
     def words(self, text: str) -> np.ndarray:
         found = (self.cut_latin if is_latin(text) else self.cut)(text)
-        return np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+        return np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))
 
     def learn(self) -> None:
         """Encode the words that came since the last time."""
@@ -240,7 +241,7 @@ class Encoder:
         ids = self.vocabulary.ids
         whole = np.array([ids.get(word, -1) for word in new], dtype=np.int64)
         flat, count = replay([word for word, one in zip(new, whole) if one < 0], self.vocabulary)
-        counts = np.ones(len(new), np.int64)
+        counts = np.ones(len(new), np.int32)
         counts[whole < 0] = count
         single = np.repeat(whole >= 0, counts)
         own = np.empty(len(single), ID)
@@ -251,10 +252,10 @@ class Encoder:
     def block(self, documents: list[np.ndarray]) -> Iterator[bytes]:
         """The ids of each document, little-endian, four bytes an id."""
         self.learn()
-        start = np.cumsum(self.count) - self.count
+        start = np.cumsum(self.count, dtype=np.int64) - self.count
         for words in documents:
             count = self.count[words]
-            shift = np.repeat(start[words] - (np.cumsum(count) - count), count)
+            shift = np.repeat(start[words] - (np.cumsum(count, dtype=np.int64) - count), count)
             yield self.flat[shift + np.arange(len(shift))].tobytes()
         if len(self.numbers) > self.most:
             self.forget()
