@@ -50,7 +50,8 @@ from .common import extended, stage
 
 WINDOW = 13
 GRAM = 5
-BATCH_WORDS = 1 << 19
+BATCH_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
 BLOCK_BYTES = 6 << 20
 HEAVY = 1 << 18
 PART = 64
@@ -64,7 +65,7 @@ class WordHashes(dict):
     """XXH64 of words, kept while the number of different words is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > KNOWN_WORDS:
             self.clear()
         value = self[word] = xxh64_intdigest(word)
         return value
