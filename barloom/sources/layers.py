@@ -54,6 +54,11 @@ def _in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
 def _folder_value(path: Column, name: str) -> Column:
     """The value that a folder such as ``symbol=A`` names."""
     text = F.regexp_extract(path, rf"^.*/{name}=([^/]*)/", 1)
@@ -63,14 +68,12 @@ def _folder_value(path: Column, name: str) -> Column:
 
 def layer_files(spark: SparkSession, base: str, layer: str) -> DataFrame:
     """(data_type, symbol, timeframe, period, path) of a layer's files, from their names alone."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        found = listing.option("pathGlobFilter", "*.parquet").load(layer_path(base, layer))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        schema = T.StructType([T.StructField("path", T.StringType())])
-        found = spark.createDataFrame([], schema)
+    path = layer_path(base, layer)
+    if _exists(spark, path):
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        found = listing.option("pathGlobFilter", "*.parquet").load(path)
+    else:
+        found = spark.createDataFrame([], "path string")
     keys = {name: _folder_value(F.col("path"), name) for name in (*KEY, PERIOD)}
     files = found.select("path").withColumns(keys)
     return files.withColumn(PERIOD, F.col(PERIOD).try_cast("bigint"))
@@ -112,7 +115,8 @@ def replace_series(df: DataFrame, base: str, layer: str, seen: DataFrame | None
     series and slice, so each task writes few files; rows are in time order within a file.
     """
     path = layer_path(base, layer)
-    old = stage(layer_files(df.sparkSession, base, layer), "files")
+    spark = df.sparkSession
+    old = stage(layer_files(spark, base, layer), "files") if _exists(spark, path) else None
     rows, ranges = _in_schema(df, SCHEMAS[layer]), []
     if layer in RANGED:
         rows, ranges = rows.withColumn(PERIOD, period_of(F.col("time"), F.col("timeframe"))), [PERIOD]
@@ -123,8 +127,8 @@ def replace_series(df: DataFrame, base: str, layer: str, seen: DataFrame | None
         .partitionBy(*KEY, *ranges)
         .parquet(path)
     )
-    if not old.isEmpty():
-        _drop_leftovers(df.sparkSession, base, layer, old, seen)
+    if old is not None:
+        _drop_leftovers(spark, base, layer, old, seen)
     return path
 
 
