@@ -598,6 +598,6 @@ def test_a_changed_payload_is_an_error(spark, tmp_path):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, name):
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         duck.sql(f"create view {table} as from '{SF_DIR}/{table}.parquet'")
     same_as_sql(QUERIES[name](spark, SF_DIR), duck, name)
