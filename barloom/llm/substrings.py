@@ -14,7 +14,8 @@ neighbouring windows share one seed occurrence.
    found does not change results, as equal windows have equal seeds and checks. A block gets
    at most one row of a window from each batch, however often a passage repeats.
 2. ``resolve_block`` merges one reference block of all batches and factors what it holds
-   of every document against it. A window's reference position is the first one in the
+   of every document against it, a part of the block's seeds after the other, so that its
+   memory is that of the rows and of one part. A window's reference position is the first one in the
    smallest document that has it, and a factor goes on as long as the next window's
    position is the next one of the same document.
 3. A document's factors from all blocks meet at their boundaries: those that continue
@@ -40,7 +41,6 @@ from hashlib import sha256
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,11 +56,22 @@ BLOCK_BYTES = 6 << 20
 HEAVY = 1 << 18
 PART = 64
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
+PART_WINDOWS = 1 << 17
+PIECE = 500
 FACTORS = "doc_id long, sig long, start int, stop int, ref long, ref_start int"
-OWN = 6  # numbers of a factor
+FACTOR_NAMES = ["doc_id", "sig", "start", "stop", "ref", "ref_start"]
+FACTOR_KINDS = ("<i8", "<i8", "<i4", "<i4", "<i8", "<i4")
+OWN = len(FACTOR_KINDS)  # numbers of a factor
 LOW48 = np.uint64((1 << 48) - 1)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that few texts at once are Python values."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
+
+
 class WordHashes(dict):
     """XXH64 of words, kept while the number of different words is bounded."""
 
@@ -190,7 +201,7 @@ def heavy_seeds(source: DataFrame, window: int, gram: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches):
             lists = [text.split() for text in batch.column(0).to_pylist()]
             words = np.array([hashes[word] for one in lists for word in one], dtype=np.uint64)
             row = np.repeat(np.arange(len(lists)), [len(one) for one in lists])
@@ -269,7 +280,7 @@ def joined(*parts: np.ndarray) -> bytes:
     return b"".join([sizes.tobytes(), *(part.tobytes() for part in parts)])
 
 
-def parted(data: bytes) -> list[np.ndarray]:
+def parted(data: bytes | pa.Buffer) -> list[np.ndarray]:
     sizes = np.frombuffer(data, "<u4", len(KINDS))
     parts, at = [], sizes.nbytes
     for size, kind in zip(sizes.tolist(), KINDS):
@@ -278,26 +289,56 @@ def parted(data: bytes) -> list[np.ndarray]:
     return parts
 
 
-def resolve_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """All of a reference block: factors of what it has of each document, against itself."""
-    docs, sigs, starts, seeds, checks, found = [], [], [], [], [], []
-    for data in rows["data"]:
-        doc, sig, local, start, many, seed, low, high, own = parted(data)
-        many = many.astype(np.int64)
-        local = np.repeat(local.astype(np.int64), many)
-        docs.append(doc[local])
-        sigs.append(sig[local])
-        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        starts.append(np.repeat(start.astype(np.int64), many) + step)
-        seeds.append(np.repeat(seed, many))
-        checks.append(high.astype(np.uint64) << np.uint64(32) | low)
-        found.append(own.reshape(OWN, -1))
-    doc, sig, start = (np.concatenate(x) for x in (docs, sigs, starts))
-    hit, ref = references(doc, np.concatenate(seeds), np.concatenate(checks))
-    pairs, row = np.unique(np.stack([doc[hit], sig[hit]]), axis=1, return_inverse=True)
-    at, *factor = factors_of(row, start[hit], doc[ref[hit]], start[ref[hit]])
-    found = np.concatenate([np.stack([*pairs[:, at], *factor]), *found], axis=1)
-    return pd.DataFrame(dict(zip(("doc_id", "sig", "start", "stop", "ref", "ref_start"), found)))
+def resolve_block(rows: pa.Table, most: int = PART_WINDOWS) -> pa.Table:
+    """All of a reference block: factors of what it has of each document, against itself.
+
+    Equal windows have equal seeds, so seeds are taken in parts of about ``most`` windows:
+    beside the rows themselves only what is known of one part takes memory.
+    """
+    docs, sigs, places, starts, many, seeds, lows, highs, owns = [], [], [], [], [], [], [], [], []
+    count = 0
+    for data in rows.column("data"):
+        doc, sig, local, *heads, own = parted(data.as_buffer())
+        places.append(local + np.uint32(count))
+        count += len(doc)
+        for part, values in zip((docs, sigs, starts, many, seeds, lows, highs), (doc, sig, *heads)):
+            part.append(values)
+        owns.append(own.reshape(OWN, -1))
+    row, start, many, seed, low, high = (
+        np.concatenate(x) for x in (places, starts, many, seeds, lows, highs)
+    )
+    pairs, number = pairs_of(np.concatenate(docs), np.concatenate(sigs))
+    row = number[row]
+    first = np.cumsum(many, dtype=np.int64) - many
+    parts = max(1, -(-len(low) // most))
+    part = (mixed(seed) >> np.uint64(32)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts, dtype=np.uint64), side="right")
+    found = [list(own) for own in owns]
+    for chosen in np.split(order, ends[:-1]):
+        length = many[chosen].astype(np.int64)
+        step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        inner = np.repeat(first[chosen], length) + step
+        at = np.repeat(row[chosen], length)
+        begin = np.repeat(start[chosen].astype(np.int64), length) + step
+        checks = high[inner].astype(np.uint64) << np.uint64(32) | low[inner]
+        doc = pairs[0][at]
+        hit, ref = references(doc, np.repeat(seed[chosen], length), checks)
+        at, *factor = factors_of(at[hit], begin[hit], doc[ref[hit]], begin[ref[hit]])
+        found.append([*pairs[:, at], *factor])
+    columns = (np.concatenate(x).astype(kind) for x, kind in zip(zip(*found), FACTOR_KINDS))
+    return pa.table([pa.array(x) for x in columns], FACTOR_NAMES)
+
+
+def pairs_of(doc: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of both, and the number of each row's pair."""
+    order = np.lexsort((sig, doc))
+    pairs = np.stack([doc[order], sig[order]])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+    number = np.empty(len(order), dtype=np.uint32)
+    number[order] = np.cumsum(new) - 1
+    return pairs[:, new], number
 
 
 def factor_mask(count: int, parsed: list[tuple[int, int, int, int]]) -> np.ndarray:
@@ -330,7 +371,7 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
             for part in held:
                 part.clear()
 
-        for batch in batches:
+        for batch in pieces(batches):
             for doc_id, sig, text in zip(*(column.to_pylist() for column in batch.columns)):
                 for part, value in zip(held, (doc_id, sig, text)):
                     part.append(value)
@@ -347,8 +388,13 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("doc_id must be an integer")
     shared = docs.sparkSession.sparkContext.broadcast(heavy_seeds(source, window, gram))
+    most = PART_WINDOWS
+
+    def resolve(rows: pa.Table) -> pa.Table:
+        return resolve_block(rows, most)
+
     parsed = source.mapInArrow(parse, "block long, data binary")
-    return parsed.groupBy("block").applyInPandas(resolve_block, FACTORS)
+    return parsed.groupBy("block").applyInArrow(resolve, FACTORS)
 
 
 def listed_factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -367,7 +413,7 @@ def parse(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [
                 (doc_id, sig, *factor)
                 for doc_id, sig, *found in zip(*(column.to_pylist() for column in batch.columns))
@@ -392,7 +438,7 @@ def parsed_rows(
     factors = stage(listed_factors(docs, window, gram), "factors")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             counts, removed, kept, digests = [], [], [], []
             for text, *found in zip(*(column.to_pylist() for column in batch.columns[1:])):
                 words = text.split() if text else []
@@ -440,10 +486,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` with the text that stays, and n_chars to match."""
-    rows = parsed_rows(docs, docs.columns, window, gram)
+    carry = [name for name in docs.columns if name != "text"]  # it is in ``kept``, and would be moved twice
+    rows = parsed_rows(docs, carry, window, gram)
     changed = F.col("n_removed") > 0
-    own = {name: F.col("row").getField(name) for name in docs.columns}
-    own["text"] = F.when(changed, F.col("kept")).otherwise(own["text"])
+    own = {name: F.col("kept") if name == "text" else F.col("row").getField(name) for name in docs.columns}
     if "n_chars" in own:
         kind = docs.schema["n_chars"].dataType
         own["n_chars"] = F.when(changed, F.length("kept").cast(kind)).otherwise(own["n_chars"])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,6 +62,53 @@ def corpus():
     return texts + [texts[3], "same " * 60, "same " * 50, None, "", "short"]
 
 
+def block_rows(batches: int, words: int):
+    """The one reference block of batches of documents, each with the same passage."""
+    chance = random.Random(3)
+    passage = [f"p{k}" for k in range(60)]
+    found, hashes = [], substrings.WordHashes()
+    for k in range(batches):
+        texts = [" ".join([*(f"w{chance.randrange(10**9)}" for _ in range(words)), *passage]).encode() for _ in range(20)]
+        ids = [20 * k + n for n in range(20)]
+        found += substrings.parse_block(ids, ids, texts, 1, substrings.WINDOW, substrings.GRAM, hashes)
+    number, data = zip(*found)
+    return pa.table({"block": pa.array(number, pa.int64()), "data": pa.array(data, pa.binary())})
+
+
+def test_parts_of_a_block_give_the_factors_of_the_whole():
+    rows = block_rows(6, 100)
+    lists = []
+    for most in (1 << 30, 1000, 7):
+        found = defaultdict(list)
+        for row in substrings.resolve_block(rows, most).to_pylist():
+            found[row["doc_id"], row["sig"]].append((row["start"], row["stop"], row["ref"], row["ref_start"]))
+        lists.append({key: substrings.joined_factors(own) for key, own in found.items()})
+    assert lists[0] == lists[1] == lists[2]
+    # within a batch against its first document, which stands in the first of all
+    assert lists[0] == {(k, k): [(100, 148, k - k % 20 if k % 20 else 0, 100)] for k in range(1, 120)}
+
+
+def test_a_block_takes_little_memory_beside_its_rows():
+    rows = block_rows(20, 1000)
+    windows = sum(int(substrings.parted(x)[4].sum()) for x in rows["data"].to_pylist())
+    assert windows > 390_000
+    tracemalloc.start()
+    substrings.resolve_block(rows, 1 << 14)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * windows  # 136 bytes a window when all were worked on at once
+
+
+def test_dropped_repeats_leave_null_and_unchanged_texts(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "PIECE", 2)
+    passage = " ".join(f"q{k}" for k in range(20))
+    texts = [f"a  b {passage}", None, "", f"c\td {passage}  e", "f  g\th"]
+    docs = docs_of(spark, texts).repartition(1)
+    rows = substrings.drop_repeats(docs)
+    assert rows.columns == docs.columns
+    assert [r.text for r in rows.orderBy("doc_id").collect()] == [texts[0], None, "", "c d e", texts[4]]
+
+
 @pytest.mark.parametrize("batch, block", [(1 << 19, 6 << 20), (60, 400)])
 def test_factors_stand_in_their_references(spark, monkeypatch, batch, block):
     monkeypatch.setattr(substrings, "BATCH_WORDS", batch)
