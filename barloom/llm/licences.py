@@ -307,8 +307,8 @@ def train(docs: DataFrame, templates: DataFrame, sample: int = SAMPLE, places: i
         F.array_max(F.slice(chance, 2, len(names))).alias("other"),
     )
     ends = seen.agg(
-        F.percentile_approx(F.when(F.col("family") == NONE, F.col("other")), 0.99, 1000).alias("low"),
-        F.percentile_approx(F.when(F.col("family") != NONE, F.col("own")), 0.05, 1000).alias("high"),
+        F.percentile_approx(F.when(F.col("family") == NONE, F.col("other")), 0.99, 10_000).alias("low"),
+        F.percentile_approx(F.when(F.col("family") != NONE, F.col("own")), 0.05, 10_000).alias("high"),
     ).first()
     cut = ((ends["low"] or 0.0) + (ends["high"] if ends["high"] is not None else 1.0)) / 2
     discard(rows)
